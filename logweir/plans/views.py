@@ -140,5 +140,8 @@ def with_views(query: str) -> str:
         if name in query:
             picks = ", ".join(f"{e} AS {n}" for n, e in columns.items())
             ctes.append(f"{name} AS (SELECT {picks} FROM events WHERE {where})")
-    text = f"WITH {', '.join(ctes)} {query}" if ctes else query
+    if query.startswith(","):
+        text = "WITH " + ", ".join(ctes) + (query if ctes else query.removeprefix(","))
+    else:
+        text = f"WITH {', '.join(ctes)} {query}" if ctes else query
     return text.replace("AS STRING)", "AS VARCHAR)")
