@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 Day = dt.date | str
 
@@ -102,14 +102,34 @@ def error_rate(metrics: DataFrame, since: Day, min_requests: int = 10) -> DataFr
     return out.orderBy(F.desc("error_rate_pct"), "endpoint", "service_name")
 
 
-def percentile_by(table: DataFrame, keys: Sequence[str], column: str, p: float, name: str) -> DataFrame:
-    """Exact interpolated percentile per key.
+def _ranked(table: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    """Distinct values per key with how often (``_n``) and at which ranks they stand.
 
-    Equal values are counted first, spread over (key, value), so the step that gathers a key
-    sees its distinct values only and a hot key does not load one task with its rows.
+    Values are counted spread over (key, value), so only distinct values of a key come
+    together; they are sorted and summed with spilling, whatever their number.
     """
-    counted = table.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(_rows().alias("_n"))
-    return counted.groupBy(*keys).agg(F.percentile(column, p, F.col("_n")).alias(name))
+    counted = table.groupBy(*keys, column).agg(_rows().alias("_n"))
+    present = F.when(F.col(column).isNotNull(), F.col("_n")).otherwise(0)
+    by_key = Window.partitionBy(*keys)
+    upto = by_key.orderBy(column).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return counted.withColumns({"_upto": F.sum(present).over(upto), "_all": F.sum(present).over(by_key)})
+
+
+def _percentile(column: str, p: float) -> Column:
+    """Aggregate over ranked values: the interpolated value at rank ``p * (all - 1)``."""
+    at = F.lit(p) * (F.col("_all") - 1)
+    value = F.col(column)
+
+    def value_at(rank: Column) -> Column:
+        return F.max(F.when((F.col("_upto") > rank) & (F.col("_upto") - F.col("_n") <= rank), value))
+
+    low, high = value_at(F.floor(at)), value_at(F.ceil(at))
+    return low + (high - low) * F.max(at - F.floor(at))
+
+
+def percentile_by(table: DataFrame, keys: Sequence[str], column: str, p: float, name: str) -> DataFrame:
+    """Exact interpolated percentile per key."""
+    return _ranked(table, keys, column).groupBy(*keys).agg(_percentile(column, p).alias(name))
 
 
 def p95_by_service(metrics: DataFrame, day: Day) -> DataFrame:
@@ -130,16 +150,14 @@ def endpoint_profile(metrics: DataFrame, day: Day) -> DataFrame:
     All figures come from the counts of equal response times, so the table is read once and
     shuffled as counts.
     """
-    on_day = metrics.where(F.col("metric_date") == _day(day))
-    counted = on_day.groupBy("endpoint", "response_time_ms").agg(_rows().alias("_n"))
-    value, n = F.col("response_time_ms"), F.col("_n")
-    present = F.sum(F.when(value.isNotNull(), n))
-    out = counted.groupBy("endpoint").agg(
-        F.sum(n).alias("calls"),
+    ranked = _ranked(metrics.where(F.col("metric_date") == _day(day)), ["endpoint"], "response_time_ms")
+    value = F.col("response_time_ms")
+    out = ranked.groupBy("endpoint").agg(
+        F.sum("_n").alias("calls"),
         F.min(value).alias("min_ms"),
-        (F.sum(value.cast("double") * n) / present).alias("avg_ms"),
+        (F.sum(value.cast("double") * F.col("_n")) / F.max("_all")).alias("avg_ms"),
         F.max(value).alias("max_ms"),
-        F.percentile(value, 0.95, n).alias("p95_ms"),
+        _percentile("response_time_ms", 0.95).alias("p95_ms"),
     )
     return out.orderBy(F.desc("avg_ms"), "endpoint")
 

@@ -17,7 +17,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from logweir.functions.types import FIELD_TYPES, record_schema, table_ddl, widens
-from logweir.session import delete_path, path_exists, session_conf
+from logweir.session import delete_paths, path_exists, session_conf
 from logweir.sources.configs import LogConfig
 
 COMMIT = "_commit"
@@ -27,6 +27,13 @@ SYSTEM_FIELDS = [
     T.StructField("_batch_id", T.LongType()),
 ]
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+# A low floor for joined tasks keeps all cores writing; the number of files does not change with
+# it, because rows of one table partition are only spread over tasks when they are many.
+WRITE_SETTINGS = {
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB",
+}
 # Catalog statements name at most this many partitions each.
 _DDL_CHUNK = 500
 
@@ -150,7 +157,7 @@ def drop_tables(spark: SparkSession, database: str) -> list[str]:
     for name in names:
         path = table_path(spark, name)
         spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
-        delete_path(spark, path)
+        delete_paths(spark, [path])
     return names
 
 
@@ -211,8 +218,7 @@ def drop_partitions(spark: SparkSession, table: str, partitions: list[Partition]
     for chunk in _chunks(partitions):
         specs = ", ".join(p.spec for p in chunk)
         spark.sql(f"ALTER TABLE {quoted(table)} DROP IF EXISTS {specs}")
-        for p in chunk:
-            delete_path(spark, f"{root}/{p.path}")
+        delete_paths(spark, [f"{root}/{p.path}" for p in chunk])
     return len(partitions)
 
 
@@ -234,13 +240,13 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
 
 def _any_of(rows: DataFrame, groups: list[tuple]) -> Column:
     """Rows lying in one of the partitions, as a predicate on partition columns only."""
-    hit = F.lit(False)
-    for values in groups:
-        same = F.lit(True)
-        for name, value in values:
-            same &= F.col(f"`{name}`").eqNullSafe(F.lit(value).cast(rows.schema[name].dataType))
-        hit |= same
-    return hit
+    types = {f.name: f.dataType.simpleString() for f in rows.schema}
+
+    def same(values: tuple) -> str:
+        tests = (f"`{k}` <=> CAST({_literal(v)} AS {types[k]})" for k, v in values)
+        return "(" + " AND ".join(tests) + ")"
+
+    return F.expr(" OR ".join(same(g) for g in groups))
 
 
 # --- writing ----------------------------------------------------------------------------
@@ -274,9 +280,8 @@ def write_rows(df: DataFrame, config: LogConfig, commit: int, cluster: bool = Tr
         rows = rows.hint("rebalance", *[F.col(c) for c in parts]) if parts else rows.hint("rebalance")
     order = [*parts, f"`{COMMIT}`", *[f"`{c}`" for c in config.sort_by if c in have]]
     rows = rows.sortWithinPartitions(*order)
-    with session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic",
-                      spark__sql__adaptive__enabled="true",
-                      spark__sql__files__maxRecordsPerFile=str(max_records_per_file)):
+    settings = {**WRITE_SETTINGS, "spark.sql.files.maxRecordsPerFile": str(max_records_per_file)}
+    with session_conf(spark, settings):
         rows.write.mode("overwrite").insertInto(config.table)
 
 

@@ -84,10 +84,11 @@ def _(spark, sf):
 
 
 @query("agg11_p95_by_service", f"""
-    SELECT service_name, quantile_cont(response_time_ms, 0.95) AS p95_response_time
+    SELECT service_name, round(quantile_cont(response_time_ms, 0.95), 6) AS p95_response_time
     FROM api_metrics WHERE metric_date = DATE '{DAY}' GROUP BY service_name""")
 def _(spark, sf):
-    return R.p95_by_service(view(spark, sf, "api_metrics"), DAY)
+    out = R.p95_by_service(view(spark, sf, "api_metrics"), DAY)
+    return out.withColumn("p95_response_time", F.round("p95_response_time", 6))
 
 
 @query("agg11_p95_by_service_approx")
@@ -97,10 +98,11 @@ def _(spark, sf):
 
 @query("agg12_endpoint_profile", f"""
     SELECT endpoint, count(*) AS calls, min(response_time_ms) AS min_ms, avg(response_time_ms) AS avg_ms,
-           max(response_time_ms) AS max_ms, quantile_cont(response_time_ms, 0.95) AS p95_ms
+           max(response_time_ms) AS max_ms, round(quantile_cont(response_time_ms, 0.95), 6) AS p95_ms
     FROM api_metrics WHERE metric_date = DATE '{DAY}' GROUP BY endpoint""")
 def _(spark, sf):
-    return R.endpoint_profile(view(spark, sf, "api_metrics"), DAY)
+    out = R.endpoint_profile(view(spark, sf, "api_metrics"), DAY)
+    return out.withColumn("p95_ms", F.round("p95_ms", 6))
 
 
 @query("agg13_user_behaviour", """

@@ -47,12 +47,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 @contextlib.contextmanager
-def session_conf(spark: SparkSession, **settings: str):
-    """Run a block under other SQL settings (dots written as ``__``), then put them back."""
-    names = {key.replace("__", "."): value for key, value in settings.items()}
-    before = {key: spark.conf.get(key, None) for key in names}
+def session_conf(spark: SparkSession, settings: dict[str, str]):
+    """Run a block under other SQL settings, then put them back."""
+    before = {key: spark.conf.get(key, None) for key in settings}
     try:
-        for key, value in names.items():
+        for key, value in settings.items():
             spark.conf.set(key, value)
         yield
     finally:
@@ -64,15 +63,19 @@ def session_conf(spark: SparkSession, **settings: str):
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    target, fs = _filesystem(spark, path)
-    return fs.exists(target)
+    return _filesystem(spark, path).exists(_path(spark, path))
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    target, fs = _filesystem(spark, path)
-    fs.delete(target, True)
+def delete_paths(spark: SparkSession, paths: list[str]) -> None:
+    if paths:
+        fs, make = _filesystem(spark, paths[0]), spark._jvm.org.apache.hadoop.fs.Path
+        for path in paths:
+            fs.delete(make(path), True)
+
+
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
 
 
 def _filesystem(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())

@@ -21,8 +21,8 @@ def oracle(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _plain(value):
-    if isinstance(value, float):
-        return "nan" if math.isnan(value) else float(f"{value:.9g}")
+    if isinstance(value, float) and math.isnan(value):
+        return "nan"
     if isinstance(value, dt.datetime):
         return value.replace(tzinfo=None)
     return value
