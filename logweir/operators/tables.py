@@ -232,7 +232,12 @@ def superseded(partitions: list[Partition]) -> list[Partition]:
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
-    """The table without rows a running compaction shows twice."""
+    """The table as the catalog has it now, without rows a running compaction shows twice.
+
+    Streams write through sessions of their own, so what this session remembers of the files
+    is dropped first.
+    """
+    spark.catalog.refreshTable(table)
     stale = superseded(list_partitions(spark, table))
     rows = spark.table(table)
     return rows.where(~_any_of(rows, [p.values for p in stale])) if stale else rows
@@ -244,7 +249,7 @@ def _any_of(rows: DataFrame, groups: list[tuple]) -> Column:
 
     def same(values: tuple) -> str:
         tests = (f"`{k}` <=> CAST({_literal(v)} AS {types[k]})" for k, v in values)
-        return "(" + " AND ".join(tests) + ")"
+        return "(" + (" AND ".join(tests) if values else "true") + ")"
 
     return F.expr(" OR ".join(same(g) for g in groups))
 
@@ -321,6 +326,7 @@ def compact(spark: SparkSession, config: LogConfig, include_latest: bool = False
     for chunk in _chunks(merge, groups_per_job):
         old = [p for _, ps in chunk for p in ps]
         commit = max(p.commit for p in old) | 1
+        spark.catalog.refreshTable(table)
         rows = spark.table(table)
         picked = rows.where((F.col(COMMIT) <= limit) & _any_of(rows, [g for g, _ in chunk]))
         write_rows(picked, config, commit, max_records_per_file=max_records_per_file)
@@ -357,6 +363,7 @@ def rollback(spark: SparkSession, config: LogConfig, version: int) -> None:
     table = config.table
     recover(spark, table)
     later = [p for p in list_partitions(spark, table) if p.commit > 2 * version + 1]
+    spark.catalog.refreshTable(table)
     for chunk in _chunks([p for p in later if p.commit % 2], 200):
         rows = spark.table(table)
         kept = rows.where(_any_of(rows, [p.values for p in chunk]) & (F.col("_batch_id") <= version))
