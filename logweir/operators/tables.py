@@ -336,8 +336,8 @@ def compact(spark: SparkSession, config: LogConfig, include_latest: bool = False
 
 def date_column(config: LogConfig) -> str | None:
     """The partition column retention goes by: the first that is a date."""
-    types = {f.name: f.type for f in config.fields}
-    return next((c for c in config.partition_by if types.get(c) == "date"), None)
+    dates = {f.name for f in config.fields if f.type == "date"} | {"_ingestion_date"}
+    return next((c for c in config.partition_by if c in dates), None)
 
 
 def expired(spark: SparkSession, config: LogConfig, as_of: dt.date) -> list[Partition]:

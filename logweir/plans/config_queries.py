@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from logweir.functions.types import ddl_type
 from logweir.operators import quality, tables
 from logweir.plans.registry import query
 from logweir.plans.views import read
@@ -74,6 +75,15 @@ def _(spark, sf):
     return own.join(moved, "name")
 
 
+@query("prj2_field_types", f"""
+    SELECT name, 'day' AS field, 'date' AS ddl FROM {CATALOG_SQL}
+    UNION ALL SELECT name, 'amount', CASE field_type WHEN 'long' THEN 'bigint' END FROM {CATALOG_SQL}""")
+def _(spark, sf):
+    """Column type of every declared field; NULL where the declared type is unknown."""
+    fields = catalog(spark, sf).select("name", F.explode("fields").alias("f"))
+    return fields.select("name", F.col("f.name").alias("field"), ddl_type(F.col("f.type")).alias("ddl"))
+
+
 @query("rte4_topic_plan", f"""
     SELECT topic, max(coalesce(partitions, 3)) AS partitions,
            max(coalesce(replication_factor, 1)) AS replication_factor,

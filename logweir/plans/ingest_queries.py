@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from logweir.functions import envelope as E
-from logweir.operators import history, quality, reports as R
+from logweir.operators import history, quality, reports as R, tables
 from logweir.plans import log_types, staging as S
 from logweir.plans.flagship import error_rate_after_ingest
 from logweir.plans.registry import query
@@ -16,7 +16,6 @@ from logweir.plans.staging import DAMAGE_SQL
 from logweir.plans.views import view
 from logweir.sources.configs import collect_configs, enabled_configs, load_configs, with_defaults
 from logweir.sources.topics import replay, topic_totals
-from logweir.streaming.progress import progress
 
 USER_EVENTS = ["timestamp", "event_date", "user_id", "session_id", "event_type", "page_url", "device_type",
                "duration_ms"]
@@ -148,6 +147,14 @@ def _(spark, sf):
     return with_k(E.decode(E.encode(view(spark, sf, "user_events"), config), config))
 
 
+@query("prj4_binary_payload", API_SQL)
+def _(spark, sf):
+    """Payloads as bytes, the way a broker hands them over."""
+    config = single(spark, "api_metrics").configs["api_metrics"]
+    messages = E.encode(view(spark, sf, "api_metrics"), config)
+    return E.decode(messages.withColumn("value", F.encode("value", "UTF-8")), config)
+
+
 @query("prj6_flatten_unrouted", f"""
     SELECT CASE WHEN log_type = 'user_events' AND reason IS NULL THEN 'whole' WHEN keyless THEN 'empty'
                 ELSE 'part' END AS content, count(*) AS messages
@@ -370,6 +377,14 @@ def _(spark, sf):
                     columns=["user_id", "event_type", "country_code", "session_id", "timestamp"])
 
 
+@query("met8_tables_of_the_database", f"""{ROUTED_SQL} UNION ALL SELECT 'api_metrics', count(*) FROM api_metrics""")
+def _(spark, sf):
+    """Every table the catalog lists in the warehouse's database, with its rows."""
+    database = S.warehouse(spark, sf).configs["api_metrics"].table.split(".")[0]
+    names = [r.tableName for r in history.tables(spark, database).where("NOT isTemporary").collect()]
+    return R.table_counts({n: tables.read_table(spark, f"{database}.{n}") for n in names})
+
+
 BATCHES = """SELECT *, CASE WHEN log_ts < TIMESTAMP '2024-01-16 00:00:00' THEN 0 ELSE 1 END AS batch
     FROM api_metrics"""
 

@@ -19,6 +19,7 @@ def query(name: str, sql: str | None = None):
 
     def add(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            pin_utc(spark)
             return zone_free(build(spark, sf_dir))
 
         QUERIES[name] = run
@@ -29,6 +30,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def pin_utc(spark: SparkSession) -> None:
+    """Event times in the given tables have no zone; they are read and written as UTC."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def zone_free(df: DataFrame) -> DataFrame:
     """Timestamps as plain date-times, as in the given tables."""
     return df.select(

@@ -16,7 +16,7 @@ from logweir.functions.envelope import encode, with_ingestion_time
 from logweir.operators import tables
 from logweir.plans import log_types
 from logweir.plans.views import view
-from logweir.session import shared_dir
+from logweir.session import delete_paths, shared_dir, spread
 from logweir.sources.configs import LogConfig, collect_configs, load_configs
 from logweir.sources.topics import FileTopics
 from logweir.streaming.ingest import start_ingest
@@ -55,6 +55,12 @@ class Stage:
         database = next(iter(self.configs.values())).table.split(".")[0]
         return tables.read_table(self.spark, f"{database}.quarantine")
 
+    def remove(self) -> None:
+        """Drop the tables and delete the folder."""
+        for database in {c.table.split(".")[0] for c in self.configs.values()}:
+            self.spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
+        delete_paths(self.spark, [self.root])
+
     @property
     def warehouse(self) -> str:
         return f"{self.root}/warehouse"
@@ -114,7 +120,8 @@ def shared_topic_messages(spark: SparkSession, sf_dir: str, configs: dict[str, L
     parts = []
     for log_type in ("user_events", "user_activity"):
         rows = view(spark, sf_dir, log_type)
-        parts.append(damaged(rows if number is None else in_slice(rows, number), configs[log_type]))
+        rows = spread(rows if number is None else in_slice(rows, number), "event_id")
+        parts.append(damaged(rows, configs[log_type]))
     return reduce(DataFrame.unionAll, parts)
 
 
@@ -133,9 +140,8 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Stage:
     for number in (0, 1):
         stage.topics.publish(shared_topic_messages(spark, sf_dir, stage.configs, number), "user-events")
         metrics = stage.configs["api_metrics"]
-        stage.topics.publish(
-            encode(in_slice(view(spark, sf_dir, "api_metrics"), number), metrics), metrics.topic
-        )
+        calls = spread(in_slice(view(spark, sf_dir, "api_metrics"), number), "event_id")
+        stage.topics.publish(encode(calls, metrics), metrics.topic)
         run = start_ingest(spark, list(stage.configs.values()), stage.topics, stage.warehouse,
                            f"{stage.root}/checkpoints", trigger=NOW)
         run.finish()
@@ -180,7 +186,7 @@ def evolved(spark: SparkSession, sf_dir: str) -> Stage:
     v1 = stage.configs["demo_events"]
     v2 = dataclasses.replace(later, table=v1.table)
     for number, config in enumerate((v1, v2)):
-        rows = in_slice(view(spark, sf_dir, "demo_events"), number)
+        rows = spread(in_slice(view(spark, sf_dir, "demo_events"), number), "event_id")
         stage.topics.publish(encode(rows, config), config.topic)
         start_ingest(spark, [config], stage.topics, stage.warehouse, f"{stage.root}/checkpoints",
                      trigger=NOW).finish()
@@ -199,7 +205,7 @@ def new_table(spark: SparkSession, log_type: str, extra_fields: tuple[str, ...]
 
 def half_day_batches(spark: SparkSession, sf_dir: str, log_type: str) -> list[DataFrame]:
     """All rows as two batches that share every date: mornings, then afternoons."""
-    rows = with_ingestion_time(view(spark, sf_dir, log_type))
+    rows = with_ingestion_time(spread(view(spark, sf_dir, log_type), "event_id"))
     morning = F.hour("timestamp") < 12
     return [rows.where(morning), rows.where(~morning)]
 

@@ -8,6 +8,7 @@ import datetime as dt
 from pyspark.sql import Window, functions as F
 
 from logweir.functions.envelope import with_ingestion_time
+from logweir.functions.types import record_schema
 from logweir.operators import history, reports as R, tables
 from logweir.plans import log_types, staging as S
 from logweir.plans.ingest_queries import API, API_SQL
@@ -119,6 +120,26 @@ def _(spark, sf):
     )
 
 
+@query("tbl15_reset_and_reload", f"{PER_PARTITION} WHERE hour(log_ts) < 12 GROUP BY 1, 2")
+def _(spark, sf):
+    """All tables of the database dropped, the table made anew, one batch loaded."""
+    stage = S.two_batch_table(spark, sf)
+    config = stage.configs["api_metrics"]
+    tables.drop_tables(spark, config.table.split(".")[0])
+    tables.ensure_table(spark, config, stage.warehouse)
+    tables.append_batch(S.half_day_batches(spark, sf, "api_metrics")[0], config, 0)
+    return R.count_by(stage.table("api_metrics"), ["metric_date", "service_name"], "row_count")
+
+
+@query("src7_parquet_files", API_SQL)
+def _(spark, sf):
+    """Rows written as snappy Parquet files and read back with the declared schema."""
+    stage = S.new_stage(spark, [log_types.document("api_metrics")])
+    rows = view(spark, sf, "api_metrics").withColumn("timestamp", F.col("timestamp").cast("timestamp")).select(*API)
+    rows.write.option("compression", "snappy").parquet(f"{stage.root}/files")
+    return spark.read.schema(record_schema(stage.configs["api_metrics"].fields)).parquet(f"{stage.root}/files")
+
+
 @query("tbl16_backfill", """
     SELECT log_ts AS "timestamp", event_date, user_id, event_type, duration_ms / 1000.0::DOUBLE AS duration_s
     FROM user_events""")

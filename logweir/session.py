@@ -5,7 +5,7 @@ from __future__ import annotations
 import contextlib
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # What the library's plans rely on.  Partition counts are left to AQE: a cluster sets
 # spark.sql.shuffle.partitions high and AQE coalesces, a laptop sets it to its cores.
@@ -46,6 +46,18 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_root[app]
 
 
+def spread(rows: DataFrame, *by: str) -> DataFrame:
+    """Use all cores for costly work per row when a scan gives few splits.
+
+    Large inputs come in many splits and are left alone.  Give it scans only: counting splits
+    plans the rows, and would run shuffles among them.  ``by`` should tell rows apart.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() * 2 > cores:
+        return rows
+    return rows.repartition(cores, *by)
+
+
 @contextlib.contextmanager
 def session_conf(spark: SparkSession, settings: dict[str, str]):
     """Run a block under other SQL settings, then put them back."""

@@ -17,10 +17,15 @@ COLUMNS = ["topic", "partition", "offset", "key", "value", "timestamp"]
 
 @dataclasses.dataclass(frozen=True)
 class FileTopics:
-    """Topics as sub-folders of ``root``.  Producers drop Parquet files, readers follow them."""
+    """Topics as sub-folders of ``root``.  Producers drop Parquet files, readers follow them.
+
+    A micro-batch takes at most ``max_bytes_per_trigger`` of files, or ``max_files_per_trigger``
+    files if that is given, so catching up on a long topic stays a row of bounded batches.
+    """
 
     root: str
     max_files_per_trigger: int | None = None
+    max_bytes_per_trigger: int = 100 * 1024**3
 
     def path(self, topic: str) -> str:
         return f"{self.root}/{topic}"
@@ -35,6 +40,8 @@ class FileTopics:
         reader = spark.readStream.schema(MESSAGE_DDL)
         if self.max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", self.max_files_per_trigger)
+        else:
+            reader = reader.option("maxBytesPerTrigger", self.max_bytes_per_trigger)
         return self._messages(reader.parquet(self.path(topic)), topic)
 
     def read(self, spark: SparkSession, topic: str) -> DataFrame:
@@ -54,10 +61,13 @@ class FileTopics:
 
 @dataclasses.dataclass(frozen=True)
 class KafkaTopics:
-    """Topics on Kafka brokers.  Needs the spark-sql-kafka package on the classpath."""
+    """Topics on Kafka brokers.  Needs the spark-sql-kafka package on the classpath.
+
+    ``min_partitions`` splits the partitions of a hot topic into more tasks.
+    """
 
     servers: str
-    max_offsets_per_trigger: int | None = None
+    max_offsets_per_trigger: int | None = 200_000_000
     min_partitions: int | None = None
 
     def publish(self, messages: DataFrame, topic: str) -> None:

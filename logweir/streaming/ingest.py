@@ -18,6 +18,7 @@ from logweir.functions.envelope import (
     with_ingestion_time,
 )
 from logweir.operators import tables
+from logweir.session import spread
 from logweir.sources.configs import Field, LogConfig
 
 INGESTED = ("_ingestion_timestamp", "_ingestion_date")
@@ -28,6 +29,7 @@ MODES = ("quarantine", "null_row", "drop")
 class IngestRun:
     """Started queries, and the types that could not be started with the reason."""
 
+    spark: SparkSession
     queries: list[StreamingQuery]
     failures: dict[str, str]
 
@@ -38,18 +40,18 @@ class IngestRun:
 
     def watch(self) -> None:
         """Wait until any query ends; its failure is raised at once."""
-        self.queries[0].sparkSession.streams.awaitAnyTermination()
+        self.spark.streams.awaitAnyTermination()
 
 
 def quarantine_config(database: str) -> LogConfig:
-    """Table of messages not accepted; one partition per query and batch."""
+    """Table of messages not accepted; partitioned by the query that met them and by day."""
     names = ["source", "key", "value", "_log_type", "_version", "reason"]
     return LogConfig(
         name="Quarantine",
         log_type="quarantine",
         topic="",
         table=f"{database}.quarantine",
-        partition_by=("source",),
+        partition_by=("source", "_ingestion_date"),
         fields=tuple(Field(n, "string", required=False) for n in names),
     )
 
@@ -123,7 +125,7 @@ def start_ingest(
                 .foreachBatch(writer)
                 .start()
             )
-    return IngestRun(queries, failures)
+    return IngestRun(spark, queries, failures)
 
 
 def _first_batch(spark: SparkSession, checkpoint: str, writer: _BatchWriter) -> int:
@@ -165,6 +167,7 @@ class _BatchWriter:
 
     def __call__(self, batch: DataFrame, epoch: int) -> None:
         batch_id = self.first_batch + epoch
+        batch = spread(batch, "partition", "offset")
         if not self.route:
             for config in self.configs:
                 tables.append_batch(decode(batch, config, INGESTED), config, batch_id)

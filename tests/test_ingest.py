@@ -246,3 +246,32 @@ def test_first_batch_note_survives(spark, tmp_path, pipe):
     assert ingest._first_batch(spark, f"{tmp_path}/c", writer) == 5
     tables.append_batch(demo_rows(spark, 3), c, 9)
     assert ingest._first_batch(spark, f"{tmp_path}/c", writer) == 5
+
+
+def test_timed_trigger_and_watch(spark, pipe, monkeypatch):
+    p = pipe("demo_events")
+    c = p.configs["demo_events"]
+    p.topics.publish(encode(demo_rows(spark, 5), c), c.topic)
+    run = start_ingest(spark, [c], p.topics, f"{p.root}/warehouse", p.checkpoint, trigger={"processingTime": "1 second"})
+    run.queries[0].processAllAvailable()
+    assert p.rows("demo_events").count() == 5
+
+    def failing(*_):
+        raise RuntimeError("disk full")
+
+    monkeypatch.setattr(tables, "append_batch", failing)
+    p.topics.publish(encode(demo_rows(spark, 5, 5), c), c.topic)
+    with pytest.raises(Exception, match="disk full"):
+        run.watch()
+    spark.streams.resetTerminated()
+    monkeypatch.undo()
+    p.run()
+    assert p.rows("demo_events").count() == 10
+
+
+def test_tables_of_one_topic_share_batch_numbers(spark, pipe, sf_dir):
+    p = pipe("user_events", "user_activity")
+    p.topics.publish(S.shared_topic_messages(spark, sf_dir, p.configs), "user-events")
+    p.run()
+    for t in p.configs:
+        assert [r[0] for r in p.rows(t).select("_batch_id").distinct().collect()] == [0]
