@@ -97,8 +97,9 @@ def ensure_table(spark: SparkSession, config: LogConfig, warehouse: str,
                  codec: str = "snappy") -> tuple[LogConfig, list[T.Row]]:
     """Create the table or evolve it to the config.
 
-    Returns the config to ingest with (its types are the table's where a change was refused)
-    and the differences found.  Columns are only ever added, and types only widened.
+    Returns the config to ingest with (types and layout are the table's where a change was
+    refused) and the differences found.  Columns are only ever added, and types only widened;
+    another layout takes a new table and ``backfill``.
     """
     if config.table.count(".") != 1:
         raise ValueError(f"table name must be database.table: {config.table}")
@@ -117,13 +118,22 @@ def ensure_table(spark: SparkSession, config: LogConfig, warehouse: str,
     if by_action["add"]:
         new = T.StructType([f for f in desired if f.name in by_action["add"]])
         spark.sql(f"ALTER TABLE {quoted(config.table)} ADD COLUMNS ({table_ddl(new)})")
+    layout = partition_columns(spark, config.table)
+    if layout != config.partition_by:
+        diff.append(T.Row(table_name=config.table, field="partition_by", current=",".join(layout),
+                          desired=",".join(config.partition_by), action="keep_current"))
     names = {t.simpleString(): n for n, t in FIELD_TYPES.items()}
     fields = tuple(
         dataclasses.replace(f, type=names[current[f.name].dataType.simpleString()])
         if f.name in by_action["keep_current"] else f
         for f in config.fields
     )
-    return dataclasses.replace(config, fields=fields), diff
+    return dataclasses.replace(config, fields=fields, partition_by=layout), diff
+
+
+def partition_columns(spark: SparkSession, table: str) -> tuple[str, ...]:
+    columns = spark.catalog.listColumns(table)
+    return tuple(c.name for c in columns if c.isPartition and c.name != COMMIT)
 
 
 def business_schema(spark: SparkSession, table: str) -> T.StructType:
@@ -309,7 +319,9 @@ def compact(spark: SparkSession, config: LogConfig, include_latest: bool = False
             groups_per_job: int = 200, max_records_per_file: int = 0) -> int:
     """Merge the commits of each table partition into one, sorted; returns partitions merged.
 
-    The newest batch is left out unless ``include_latest``: a stream may still replay it.
+    The newest batch is left out, because a stream may still replay it.  ``include_latest`` is
+    for tables whose stream has ended without an error: a batch replayed after it was merged
+    would count as replaced.
     Works through the table in jobs of a bounded number of partitions, so a lost driver costs
     one job; what is done stays done.
     """

@@ -29,7 +29,6 @@ MODES = ("quarantine", "null_row", "drop")
 class IngestRun:
     """Started queries, and the types that could not be started with the reason."""
 
-    spark: SparkSession
     queries: list[StreamingQuery]
     failures: dict[str, str]
 
@@ -38,9 +37,10 @@ class IngestRun:
         for query in self.queries:
             query.awaitTermination()
 
-    def watch(self) -> None:
-        """Wait until any query ends; its failure is raised at once."""
-        self.spark.streams.awaitAnyTermination()
+    def watch(self, seconds: float = 1.0) -> None:
+        """Wait until any of these queries ends; a failure is raised within a round of waits."""
+        while not any(query.awaitTermination(seconds) for query in self.queries):
+            pass
 
 
 def quarantine_config(database: str) -> LogConfig:
@@ -68,6 +68,7 @@ def start_ingest(
     starting: str = "earliest",
     trigger: dict | None = None,
     codec: str = "snappy",
+    cluster: bool = True,
 ) -> IngestRun:
     """Start the streaming queries that fill the tables of ``configs``.
 
@@ -77,6 +78,7 @@ def start_ingest(
     with its own schema, misfits as NULL.
     ``on_invalid``: what becomes of messages that are not accepted: kept with a reason in the
     quarantine table, written to the type's table as NULLs, or left out.
+    ``cluster=False`` writes without a shuffle, one file per task and table partition.
     A type that cannot be set up is reported and does not stop the others.
     """
     if on_invalid not in MODES:
@@ -110,22 +112,26 @@ def start_ingest(
                 lead=number == 0,
                 on_invalid=on_invalid,
                 route=route,
+                cluster=cluster,
                 quarantine=quarantine_config(group[0].table.split(".")[0]),
             )
-            if on_invalid == "quarantine" and route:
-                tables.ensure_table(spark, writer.quarantine, warehouse, codec)
-            location = f"{checkpoint}/{name}"
-            writer.first_batch = _first_batch(spark, location, writer)
-            stream = with_ingestion_time(topics.stream(spark, topic, starting))
-            queries.append(
-                stream.writeStream.outputMode("append")
-                .queryName(name)
-                .trigger(**trigger)
-                .option("checkpointLocation", location)
-                .foreachBatch(writer)
-                .start()
-            )
-    return IngestRun(spark, queries, failures)
+            try:
+                if on_invalid == "quarantine" and route:
+                    tables.ensure_table(spark, writer.quarantine, warehouse, codec)
+                location = f"{checkpoint}/{name}"
+                writer.first_batch = _first_batch(spark, location, writer)
+                stream = with_ingestion_time(topics.stream(spark, topic, starting))
+                queries.append(
+                    stream.writeStream.outputMode("append")
+                    .queryName(name)
+                    .trigger(**trigger)
+                    .option("checkpointLocation", location)
+                    .foreachBatch(writer)
+                    .start()
+                )
+            except Exception as error:  # nor one topic that cannot be read
+                failures |= {c.log_type: str(error) for c in group}
+    return IngestRun(queries, failures)
 
 
 def _first_batch(spark: SparkSession, checkpoint: str, writer: _BatchWriter) -> int:
@@ -163,6 +169,7 @@ class _BatchWriter:
     on_invalid: str
     route: bool
     quarantine: LogConfig
+    cluster: bool = True
     first_batch: int = 0
 
     def __call__(self, batch: DataFrame, epoch: int) -> None:
@@ -170,9 +177,12 @@ class _BatchWriter:
         batch = spread(batch, "partition", "offset")
         if not self.route:
             for config in self.configs:
-                tables.append_batch(decode(batch, config, INGESTED), config, batch_id)
+                tables.append_batch(decode(batch, config, INGESTED), config, batch_id, self.cluster)
             return
         classified = self._attributed(classify(batch, self.configs))
+        # Only rejects keep their text: the cached batch holds each message once.
+        text = F.when(F.col("_reason").isNotNull(), F.col("value"))
+        classified = classified.withColumn("value", text)
         if len(self.configs) > 1 or self.on_invalid != "drop":
             classified.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -180,7 +190,7 @@ class _BatchWriter:
                 rows = records(classified, config, INGESTED)
                 if self.on_invalid == "null_row":
                     rows = rows.unionByName(null_rows(classified, config, INGESTED))
-                tables.append_batch(rows, config, batch_id)
+                tables.append_batch(rows, config, batch_id, self.cluster)
             if self.on_invalid == "quarantine":
                 tables.append_batch(self._rejects(classified), self.quarantine, batch_id)
         finally:

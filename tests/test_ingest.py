@@ -168,6 +168,29 @@ def test_one_bad_type_does_not_stop_the_others(spark, pipe):
     assert list(run.failures) == ["api_metrics"] and p.rows("demo_events").count() == 5
 
 
+def test_a_topic_that_is_not_there_does_not_stop_the_others(spark, pipe):
+    p = pipe("demo_events", "api_metrics")
+    c = p.configs["demo_events"]
+    p.topics.publish(encode(demo_rows(spark, 5), c), c.topic)
+    run = p.run(cluster=False)
+    assert list(run.failures) == ["api_metrics"] and p.rows("demo_events").count() == 5
+
+
+def test_rejects_can_be_sent_again(spark, pipe, sf_dir):
+    """Messages of a type nobody knew yet are quarantined whole and can be published anew."""
+    p = pipe("user_events")
+    both = pipe("user_events", "user_activity").configs
+    p.topics.publish(S.shared_topic_messages(spark, sf_dir, both), "user-events")
+    p.run()
+    assert p.rows("user_events").count() == EXPECTED["sf0.001"]["user_events"]
+    p.configs = both
+    again = p.rejected().where("_log_type = 'user_activity'").select("key", "value")
+    p.topics.publish(again, "user-events")
+    p.run()
+    assert p.rows("user_activity").count() == EXPECTED["sf0.001"]["user_activity"]
+    assert p.rows("user_events").count() == EXPECTED["sf0.001"]["user_events"]
+
+
 def test_a_table_belongs_to_one_type(spark, pipe):
     p = pipe("user_events", "user_activity")
     p.configs["user_activity"] = dataclasses.replace(p.configs["user_activity"], table=p.configs["user_events"].table)
@@ -263,7 +286,6 @@ def test_timed_trigger_and_watch(spark, pipe, monkeypatch):
     p.topics.publish(encode(demo_rows(spark, 5, 5), c), c.topic)
     with pytest.raises(Exception, match="disk full"):
         run.watch()
-    spark.streams.resetTerminated()
     monkeypatch.undo()
     p.run()
     assert p.rows("demo_events").count() == 10

@@ -141,6 +141,13 @@ def test_required_field_may_become_optional(spark, demo, tmp_path):
     assert diff == []
 
 
+def test_another_layout_is_reported_and_the_old_one_kept(spark, demo, tmp_path):
+    other = dataclasses.replace(demo, partition_by=("event_type",))
+    effective, diff = tables.ensure_table(spark, other, str(tmp_path))
+    assert effective.partition_by == ("event_date",)
+    assert [(r["field"], r["action"]) for r in diff] == [("partition_by", "keep_current")]
+
+
 def test_table_defined_over_files_that_are_there(spark, demo, tmp_path):
     tables.append_batch(rows(spark, 10), demo, 0)
     spark.sql(f"DROP TABLE {demo.table}")
