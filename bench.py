@@ -11,7 +11,10 @@ import os
 import sys
 import time
 
+from pyspark.sql import functions as F
+
 from logweir.functions import envelope as E
+from logweir.operators import history
 from logweir.plans import all_queries
 from logweir.plans.staging import warehouse
 from logweir.session import build_session
@@ -76,7 +79,13 @@ def main() -> None:
     configs = [stage.configs["user_events"], stage.configs["user_activity"]]
     shared = stage.topics.read(spark, "user-events")
     decode = min(timed(lambda: E.classify(shared, configs)) for _ in range(2))
+    calls = stage.table("api_metrics")
+    files = history.files(calls, ["metric_date", "service_name"])
+    table_bytes = files.agg(F.sum("file_size_in_bytes")).first()[0]
+    json_bytes = stage.topics.read(spark, "api-metrics").agg(F.avg(F.octet_length("value"))).first()[0]
     sizes = {
+        "json_bytes_per_row": round(json_bytes),
+        "table_bytes_per_row": round(table_bytes / calls.count()),
         "messages_ingested": messages,
         "first_ingest_sec": round(ingest, 3),
         "decode_messages_per_sec": round(shared.count() / decode),
