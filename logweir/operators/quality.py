@@ -62,8 +62,8 @@ def _each(items, name, broken, detail):
 
 def shared_tables(configs: DataFrame) -> DataFrame:
     """Tables more than one log type claims (catalog as of ``with_defaults``)."""
-    counted = configs.groupBy("table_name").agg(F.array_sort(F.collect_set("log_type")).alias("log_types"))
-    return counted.where(F.size("log_types") > 1)
+    counted = configs.groupBy("table_name").agg(F.countDistinct("log_type").alias("log_types"))
+    return counted.where(F.col("log_types") > 1)
 
 
 def reject_counts(classified: DataFrame) -> DataFrame:

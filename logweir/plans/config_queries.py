@@ -9,7 +9,7 @@ from logweir.operators import quality, tables
 from logweir.plans.registry import query
 from logweir.plans.views import read
 from logweir.sources.configs import CONFIG_DDL, with_defaults
-from logweir.sources.topics import topic_plan
+from logweir.sources.topics import topic_plan, topic_types
 
 # Columns of a catalog derived from customers, as SQL both engines read.
 CATALOG = {
@@ -65,14 +65,16 @@ def _(spark, sf):
 
 
 @query("prj15_table_names", f"""
-    SELECT name, coalesce(table_name, concat('analytics_logs.', lower(name))) AS table_name,
-           concat('other.', coalesce(split_part(table_name, '.', -1), lower(name))) AS in_namespace
+    SELECT name, 'own' AS names, coalesce(table_name, concat('analytics_logs.', lower(name))) AS table_name
+    FROM {CATALOG_SQL}
+    UNION ALL SELECT name, 'moved', concat('other.', coalesce(split_part(table_name, '.', -1), lower(name)))
     FROM {CATALOG_SQL}""")
 def _(spark, sf):
+    """The name a config gives its table, and the one it gets in another namespace."""
     rows = catalog(spark, sf)
-    own = with_defaults(rows).select("name", "table_name")
-    moved = with_defaults(rows, namespace="other").select("name", F.col("table_name").alias("in_namespace"))
-    return own.join(moved, "name")
+    own = with_defaults(rows).select("name", F.lit("own").alias("names"), "table_name")
+    moved = with_defaults(rows, namespace="other").select("name", F.lit("moved").alias("names"), "table_name")
+    return own.unionAll(moved)
 
 
 @query("prj2_field_types", f"""
@@ -88,11 +90,15 @@ def _(spark, sf):
     SELECT topic, max(coalesce(partitions, 3)) AS partitions,
            max(coalesce(replication_factor, 1)) AS replication_factor,
            CAST(max(coalesce(retention_ms, 604800000)) AS BIGINT) AS retention_ms,
-           count(DISTINCT coalesce(log_type, lower(name))) AS n_log_types
+           count(DISTINCT coalesce(log_type, lower(name))) AS log_types
     FROM {CATALOG_SQL} GROUP BY topic""")
 def _(spark, sf):
-    plan = topic_plan(with_defaults(catalog(spark, sf)))
-    return plan.withColumn("n_log_types", F.size("log_types").cast("long")).drop("log_types")
+    return topic_plan(with_defaults(catalog(spark, sf)))
+
+
+@query("rte4_topic_types", f"SELECT DISTINCT topic, coalesce(log_type, lower(name)) AS log_type FROM {CATALOG_SQL}")
+def _(spark, sf):
+    return topic_types(with_defaults(catalog(spark, sf)))
 
 
 @query("chk2_config_violations", f"""

@@ -17,45 +17,54 @@ COLUMNS = ["topic", "partition", "offset", "key", "value", "timestamp"]
 
 @dataclasses.dataclass(frozen=True)
 class FileTopics:
-    """Topics as sub-folders of ``root``.  Producers drop Parquet files, readers follow them.
+    """Topics as sub-folders of ``root``.  Producers drop files there, readers follow them.
 
-    A micro-batch takes at most ``max_bytes_per_trigger`` of files, or ``max_files_per_trigger``
+    ``format="parquet"``: files of ``key, value, timestamp``, as ``publish`` writes them.
+    ``format="text"``: one message per line, without keys and offsets.  A micro-batch takes at most ``max_bytes_per_trigger`` of files, or ``max_files_per_trigger``
     files if that is given, so catching up on a long topic stays a row of bounded batches.
     """
 
     root: str
     max_files_per_trigger: int | None = None
     max_bytes_per_trigger: int = 100 * 1024**3
+    format: str = "parquet"
 
     def path(self, topic: str) -> str:
         return f"{self.root}/{topic}"
 
     def publish(self, messages: DataFrame, topic: str) -> None:
+        if self.format == "text":
+            messages.select("value").write.mode("append").text(self.path(topic))
+            return
         out = messages.select("key", "value", F.current_timestamp().alias("timestamp"))
         out.write.mode("append").option("compression", "snappy").parquet(self.path(topic))
 
     def stream(self, spark: SparkSession, topic: str, starting: str = "earliest") -> DataFrame:
         if starting != "earliest":
             raise ValueError("a file topic is read from its first file")
-        reader = spark.readStream.schema(MESSAGE_DDL)
+        reader = self._reader(spark.readStream)
         if self.max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", self.max_files_per_trigger)
         else:
             reader = reader.option("maxBytesPerTrigger", self.max_bytes_per_trigger)
-        return self._messages(reader.parquet(self.path(topic)), topic)
+        return self._messages(reader.load(self.path(topic)), topic)
 
     def read(self, spark: SparkSession, topic: str) -> DataFrame:
-        return self._messages(spark.read.schema(MESSAGE_DDL).parquet(self.path(topic)), topic)
+        return self._messages(self._reader(spark.read).load(self.path(topic)), topic)
 
-    @staticmethod
-    def _messages(files: DataFrame, topic: str) -> DataFrame:
+    def _reader(self, reader):
+        schema = "value string" if self.format == "text" else MESSAGE_DDL
+        return reader.format(self.format).schema(schema)
+
+    def _messages(self, files: DataFrame, topic: str) -> DataFrame:
+        text = self.format == "text"
         return files.select(
             F.lit(topic).alias("topic"),
             F.col("_metadata.file_name").alias("partition"),
-            F.col("_metadata.row_index").alias("offset"),
-            "key",
+            (F.lit(None).cast("long") if text else F.col("_metadata.row_index")).alias("offset"),
+            (F.lit(None).cast("string") if text else F.col("key")).alias("key"),
             "value",
-            "timestamp",
+            F.col("_metadata.file_modification_time" if text else "timestamp").alias("timestamp"),
         )
 
 
@@ -159,5 +168,10 @@ def topic_plan(configs: DataFrame) -> DataFrame:
         F.max("partitions").alias("partitions"),
         F.max("replication_factor").alias("replication_factor"),
         F.max("retention_ms").alias("retention_ms"),
-        F.array_sort(F.collect_set("log_type")).alias("log_types"),
+        F.countDistinct("log_type").alias("log_types"),
     )
+
+
+def topic_types(configs: DataFrame) -> DataFrame:
+    """Which types travel on which topic, one row each."""
+    return configs.select("topic", "log_type").distinct()

@@ -174,7 +174,7 @@ class _BatchWriter:
 
     def __call__(self, batch: DataFrame, epoch: int) -> None:
         batch_id = self.first_batch + epoch
-        batch = spread(batch, "partition", "offset")
+        batch = spread(batch, "partition", "offset", "value")
         if not self.route:
             for config in self.configs:
                 tables.append_batch(decode(batch, config, INGESTED), config, batch_id, self.cluster)

@@ -235,6 +235,17 @@ def test_hot_partition_is_split_in_a_stream(spark, pipe, tmp_path):
     assert p.rows("demo_events").count() == 30_000
 
 
+def test_topic_of_text_lines(spark, pipe, sf_dir):
+    p = pipe("api_metrics")
+    p.topics = FileTopics(p.topics.root, format="text")
+    c = p.configs["api_metrics"]
+    p.topics.publish(encode(view(spark, sf_dir, "api_metrics"), c), c.topic)
+    p.topics.publish(spark.createDataFrame([("not json",)], "value string"), c.topic)
+    assert p.topics.read(spark, c.topic).count() == 1001
+    p.run()
+    assert p.rows("api_metrics").count() == 1000 and p.rejected().first().reason == "malformed"
+
+
 def test_offsets_replay_and_peek(spark, pipe, sf_dir):
     p = pipe("api_metrics")
     c = p.configs["api_metrics"]
