@@ -12,7 +12,7 @@ _MB = 1024.0 * 1024.0
 
 
 def snapshots(table: DataFrame) -> DataFrame:
-    """One row per ingested batch, newest first.  Reads two columns."""
+    """One row per ingested batch, newest first; ``_batch_id`` is the version.  Reads two columns."""
     return (
         table.groupBy("_batch_id")
         .agg(F.min("_ingestion_timestamp").alias("committed_at"), F.count(F.lit(1)).alias("added_records"))

@@ -3,9 +3,11 @@
 Beside the business columns every table has ``_ingestion_timestamp``, ``_ingestion_date`` and
 ``_batch_id``, and a last partition column ``_commit`` that names the write a file came from:
 ``2 * batch`` for an appended batch, ``2 * batch + 1`` for a compaction of all batches up to
-``batch``.  A batch written twice overwrites its own partitions, so a replay adds nothing, and a
-compaction never writes over a partition that readers use.  The catalog's partition list says
-which files count; a partition is listed only after its files are complete.
+``batch``.  A batch is numbered by its ingestion time in milliseconds, which a stream repeats when
+it replays the batch, so writers and new checkpoints need not agree on numbers.  A batch written
+twice overwrites its own partitions, so a replay adds nothing, and a compaction never writes over
+a partition that readers use.  The catalog's partition list says which files count; a partition
+is listed only after its files are complete.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from logweir.functions.envelope import with_ingestion_time
 from logweir.functions.types import FIELD_TYPES, record_schema, table_ddl, widens
 from logweir.session import delete_paths, path_exists, session_conf
 from logweir.sources.configs import LogConfig
@@ -267,16 +270,19 @@ def _any_of(rows: DataFrame, groups: list[tuple]) -> Column:
 # --- writing ----------------------------------------------------------------------------
 
 
-def append_batch(df: DataFrame, config: LogConfig, batch_id: int, cluster: bool = True,
+def append_batch(df: DataFrame, config: LogConfig, batch_id: int | None = None, cluster: bool = True,
                  max_records_per_file: int = 0) -> None:
-    """Write one batch of rows to the table; the same batch again replaces itself."""
-    rows = df.withColumn("_batch_id", F.lit(batch_id).cast("long"))
-    write_rows(rows, config, 2 * batch_id, cluster, max_records_per_file)
+    """Write one batch of rows to the table; the same batch again replaces itself.
+
+    The batch number is the rows' ingestion time unless given.  Numbers must grow over time.
+    """
+    number = F.unix_millis("_ingestion_timestamp") if batch_id is None else F.lit(batch_id).cast("long")
+    rows = df.withColumn("_batch_id", number).withColumn(COMMIT, F.col("_batch_id") * 2)
+    write_rows(rows, config, cluster, max_records_per_file)
 
 
-def write_rows(df: DataFrame, config: LogConfig, commit: int, cluster: bool = True,
-               max_records_per_file: int = 0) -> None:
-    """Overwrite the partitions of one commit with the rows.
+def write_rows(df: DataFrame, config: LogConfig, cluster: bool = True, max_records_per_file: int = 0) -> None:
+    """Overwrite the partitions the rows belong to, ``_commit`` included.
 
     ``cluster`` gathers rows of a table partition into few files; the rebalance hint lets AQE
     cut a hot partition into several tasks and join small ones.  Without it each task writes
@@ -286,9 +292,7 @@ def write_rows(df: DataFrame, config: LogConfig, commit: int, cluster: bool = Tr
     target = spark.table(config.table).schema
     have = set(df.columns)
     rows = df.select(
-        [F.lit(commit).cast("long").alias(COMMIT) if f.name == COMMIT
-         else F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) if f.name in have
-         else F.lit(None).cast(f.dataType).alias(f.name) for f in target]
+        [(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in target]
     )
     parts = [f"`{c}`" for c in config.partition_by]
     if cluster:
@@ -300,13 +304,6 @@ def write_rows(df: DataFrame, config: LogConfig, commit: int, cluster: bool = Tr
         rows.write.mode("overwrite").insertInto(config.table)
 
 
-def next_batch(spark: SparkSession, table: str, **fixed: str) -> int:
-    """First batch number the table has not used, among partitions with the given values."""
-    used = [p.commit // 2 for p in list_partitions(spark, table)
-            if all(dict(p.values).get(k) == v for k, v in fixed.items())]
-    return max(used, default=-1) + 1
-
-
 # --- upkeep -----------------------------------------------------------------------------
 
 
@@ -319,11 +316,9 @@ def compact(spark: SparkSession, config: LogConfig, include_latest: bool = False
             groups_per_job: int = 200, max_records_per_file: int = 0) -> int:
     """Merge the commits of each table partition into one, sorted; returns partitions merged.
 
-    The newest batch is left out, because a stream may still replay it.  ``include_latest`` is
-    for tables whose stream has ended without an error: a batch replayed after it was merged
-    would count as replaced.
-    Works through the table in jobs of a bounded number of partitions, so a lost driver costs
-    one job; what is done stays done.
+    The newest batch is left out unless ``include_latest``: a stream may be about to write it
+    again.  Works through the table in jobs of a bounded number of partitions, so a lost driver
+    costs one job; what is done stays done.
     """
     table = config.table
     recover(spark, table)
@@ -336,16 +331,33 @@ def compact(spark: SparkSession, config: LogConfig, include_latest: bool = False
             groups.setdefault(p.group, []).append(p)
     merge = [(group, ps) for group, ps in groups.items() if len(ps) > 1]
     for chunk in _chunks(merge, groups_per_job):
-        old = [p for _, ps in chunk for p in ps]
-        commit = max(p.commit for p in old) | 1
+        merged = {group: max(p.commit for p in ps) | 1 for group, ps in chunk}
         spark.catalog.refreshTable(table)
         rows = spark.table(table)
-        picked = rows.where((F.col(COMMIT) <= limit) & _any_of(rows, [g for g, _ in chunk]))
-        write_rows(picked, config, commit, max_records_per_file=max_records_per_file)
-        drop_partitions(spark, table, [p for p in old if p.commit != commit])
+        picked = rows.where((F.col(COMMIT) <= limit) & _any_of(rows, list(merged)))
+        write_rows(_with_commits(picked, merged), config, max_records_per_file=max_records_per_file)
+        drop_partitions(spark, table, [p for _, ps in chunk for p in ps])
     return len(merge)
 
 
+def _with_commits(rows: DataFrame, commits: dict[tuple, int]) -> DataFrame:
+    """Rows with the commit of their partition.  The broadcast side is one row per partition of
+    the job, a number the caller bounds.
+    """
+    names = [name for name, _ in next(iter(commits))]
+    if not names:
+        return rows.withColumn(COMMIT, F.lit(commits[()]).cast("long"))
+    ddl = ", ".join(f"`p_{n}` string" for n in names) + ", new_commit long"
+    listed = rows.sparkSession.createDataFrame(
+        [(*[v for _, v in group], commit) for group, commit in commits.items()], ddl
+    )
+    listed = listed.select(*[F.col(f"`p_{n}`").cast(rows.schema[n].dataType).alias(f"p_{n}") for n in names],
+                           "new_commit")
+    on = [rows[f"`{n}`"].eqNullSafe(listed[f"`p_{n}`"]) for n in names]
+    joined = rows.drop(COMMIT).join(F.broadcast(listed), on)
+    return joined.withColumnRenamed("new_commit", COMMIT).drop(*[f"p_{n}" for n in names])
+
+
 def date_column(config: LogConfig) -> str | None:
     """The partition column retention goes by: the first that is a date."""
     dates = {f.name for f in config.fields if f.type == "date"} | {"_ingestion_date"}
@@ -379,13 +391,16 @@ def rollback(spark: SparkSession, config: LogConfig, version: int) -> None:
     for chunk in _chunks([p for p in later if p.commit % 2], 200):
         rows = spark.table(table)
         kept = rows.where(_any_of(rows, [p.values for p in chunk]) & (F.col("_batch_id") <= version))
-        write_rows(kept, config, 2 * version + 1)
+        write_rows(kept.withColumn(COMMIT, F.lit(2 * version + 1)), config)
     drop_partitions(spark, table, later)
 
 
-def backfill(spark: SparkSession, source: DataFrame, config: LogConfig, batch_id: int = 0) -> None:
-    """Fill a table from another one, by column name; missing columns become NULL."""
-    append_batch(source.drop(COMMIT), config, batch_id)
+def backfill(spark: SparkSession, source: DataFrame, config: LogConfig) -> None:
+    """Fill a table from another one, by column name; missing columns become NULL.
+
+    The rows count as one batch, ingested now.
+    """
+    append_batch(with_ingestion_time(source.drop(COMMIT)), config)
 
 
 def merge_renamed(df: DataFrame, old: str, new: str) -> DataFrame:

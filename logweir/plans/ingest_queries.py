@@ -343,13 +343,13 @@ def _(spark, sf):
 
 
 @query("str7_restart_with_new_fields", """
-    SELECT CAST(CASE WHEN log_ts < TIMESTAMP '2024-01-16 00:00:00' THEN 0 ELSE 1 END AS BIGINT) AS _batch_id,
-           count(*) AS row_count, count(country_code) AS with_country
-    FROM demo_events GROUP BY 1""")
+    SELECT count(*) AS row_count, count(country_code) AS with_country
+    FROM demo_events GROUP BY CASE WHEN log_ts < TIMESTAMP '2024-01-16 00:00:00' THEN 0 ELSE 1 END""")
 def _(spark, sf):
+    """One row per batch: the first without the new field, the second with it."""
     return S.evolved(spark, sf).table("demo_events").groupBy("_batch_id").agg(
         F.count(F.lit(1)).alias("row_count"), F.count("country_code").alias("with_country")
-    )
+    ).drop("_batch_id")
 
 
 @query("tbl5_added_columns", """
@@ -390,10 +390,16 @@ BATCHES = """SELECT *, CASE WHEN log_ts < TIMESTAMP '2024-01-16 00:00:00' THEN 0
 
 
 @query("met1_snapshots", f"""
-    SELECT CAST(batch AS BIGINT) AS _batch_id, count(*) AS added_records, 'append' AS operation
-    FROM ({BATCHES}) GROUP BY 1""")
+    SELECT count(*) AS added_records, 'append' AS operation, TRUE AS numbered_by_time
+    FROM ({BATCHES}) GROUP BY batch""")
 def _(spark, sf):
-    return history.snapshots(S.warehouse(spark, sf).table("api_metrics")).drop("committed_at")
+    out = history.snapshots(S.warehouse(spark, sf).table("api_metrics"))
+    by_time = F.col("_batch_id") == F.unix_millis("committed_at")
+    return out.select("added_records", "operation", by_time.alias("numbered_by_time"))
+
+
+def first_version(stage, log_type) -> int:
+    return history.snapshots(stage.table(log_type)).agg(F.min("_batch_id")).first()[0]
 
 
 @query("met2_files", """
@@ -417,16 +423,17 @@ def _(spark, sf):
 @query("met5_as_of_version", f"SELECT event_date, count(*) AS row_count FROM user_events WHERE {DAMAGE_SQL} IS NULL "
        "AND log_ts < TIMESTAMP '2024-01-16 00:00:00' GROUP BY 1")
 def _(spark, sf):
-    config = S.warehouse(spark, sf).configs["user_events"]
-    return R.count_by(history.as_of(spark, config.table, version=0), ["event_date"], "row_count")
+    stage = S.warehouse(spark, sf)
+    rows = history.as_of(spark, stage.configs["user_events"].table, version=first_version(stage, "user_events"))
+    return R.count_by(rows, ["event_date"], "row_count")
 
 
 @query("met6_as_of_time", f"SELECT event_date, count(*) AS row_count FROM user_events WHERE {DAMAGE_SQL} IS NULL "
        "AND log_ts < TIMESTAMP '2024-01-16 00:00:00' GROUP BY 1")
 def _(spark, sf):
     stage = S.warehouse(spark, sf)
-    first = history.snapshots(stage.table("user_events")).where("_batch_id = 0").first()
-    rows = history.as_of(spark, stage.configs["user_events"].table, timestamp=first["committed_at"])
+    first = history.snapshots(stage.table("user_events")).agg(F.min("committed_at")).first()[0]
+    rows = history.as_of(spark, stage.configs["user_events"].table, timestamp=first)
     return R.count_by(rows, ["event_date"], "row_count")
 
 
@@ -436,7 +443,8 @@ def _(spark, sf):
 def _(spark, sf):
     stage = S.warehouse(spark, sf)
     table = stage.configs["api_metrics"].table
-    delta = quality.count_delta(history.as_of(spark, table, version=0), stage.table("api_metrics"), expected=0)
+    before = history.as_of(spark, table, version=first_version(stage, "api_metrics"))
+    delta = quality.count_delta(before, stage.table("api_metrics"), expected=0)
     return delta.drop("as_expected")
 
 

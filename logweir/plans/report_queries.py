@@ -186,12 +186,11 @@ def _(spark, sf):
 
 
 @query("agg19_table_growth", f"""
-    SELECT CAST(CASE WHEN log_ts < TIMESTAMP '2024-01-16 00:00:00' THEN 0 ELSE 1 END AS BIGINT) AS _batch_id,
-           count(*) AS added_rows, TRUE AS lag_measured
-    FROM user_events WHERE {DAMAGE_SQL} IS NULL GROUP BY 1""")
+    SELECT count(*) AS added_rows, TRUE AS lag_measured FROM user_events WHERE {DAMAGE_SQL} IS NULL
+    GROUP BY CASE WHEN log_ts < TIMESTAMP '2024-01-16 00:00:00' THEN 0 ELSE 1 END""")
 def _(spark, sf):
     out = R.processing_lag(warehouse(spark, sf).table("user_events"))
-    return out.select("_batch_id", "added_rows", (F.col("max_lag_s") >= F.col("avg_lag_s")).alias("lag_measured"))
+    return out.select("added_rows", (F.col("max_lag_s") >= F.col("avg_lag_s")).alias("lag_measured"))
 
 
 @query("ts1_events_per_hour", """

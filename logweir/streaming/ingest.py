@@ -5,7 +5,6 @@ from __future__ import annotations
 import dataclasses
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -118,14 +117,12 @@ def start_ingest(
             try:
                 if on_invalid == "quarantine" and route:
                     tables.ensure_table(spark, writer.quarantine, warehouse, codec)
-                location = f"{checkpoint}/{name}"
-                writer.first_batch = _first_batch(spark, location, writer)
                 stream = with_ingestion_time(topics.stream(spark, topic, starting))
                 queries.append(
                     stream.writeStream.outputMode("append")
                     .queryName(name)
                     .trigger(**trigger)
-                    .option("checkpointLocation", location)
+                    .option("checkpointLocation", f"{checkpoint}/{name}")
                     .foreachBatch(writer)
                     .start()
                 )
@@ -134,32 +131,12 @@ def start_ingest(
     return IngestRun(queries, failures)
 
 
-def _first_batch(spark: SparkSession, checkpoint: str, writer: _BatchWriter) -> int:
-    """Number this query's batch 0 gets in its tables.
-
-    It is kept beside the checkpoint.  A new checkpoint starts after whatever its tables hold,
-    so a reset adds batches instead of overwriting old ones.
-    """
-    note = f"{checkpoint}/first_batch"
-    try:
-        row = spark.read.schema("batch long").json(note).first()
-    except AnalysisException:
-        row = None
-    if row is not None:
-        return row["batch"]
-    used = [tables.next_batch(spark, c.table) for c in writer.configs]
-    if spark.catalog.tableExists(writer.quarantine.table):
-        used.append(tables.next_batch(spark, writer.quarantine.table, source=writer.source))
-    spark.createDataFrame([(max(used),)], "batch long").coalesce(1).write.mode("overwrite").json(note)
-    return max(used)
-
-
 @dataclasses.dataclass
 class _BatchWriter:
     """foreachBatch body: classify the micro-batch once, then write each table.
 
-    Every write is keyed by the batch number, so a batch that is replayed after a failure
-    replaces what its first attempt left.
+    Every write is keyed by the batch's ingestion time, which the stream's checkpoint keeps, so
+    a batch that is replayed after a failure replaces what its first attempt left.
     """
 
     source: str
@@ -169,15 +146,13 @@ class _BatchWriter:
     on_invalid: str
     route: bool
     quarantine: LogConfig
-    cluster: bool = True
-    first_batch: int = 0
+    cluster: bool
 
     def __call__(self, batch: DataFrame, epoch: int) -> None:
-        batch_id = self.first_batch + epoch
         batch = spread(batch, "partition", "offset", "value")
         if not self.route:
             for config in self.configs:
-                tables.append_batch(decode(batch, config, INGESTED), config, batch_id, self.cluster)
+                tables.append_batch(decode(batch, config, INGESTED), config, cluster=self.cluster)
             return
         classified = self._attributed(classify(batch, self.configs))
         # Only rejects keep their text: the cached batch holds each message once.
@@ -190,9 +165,9 @@ class _BatchWriter:
                 rows = records(classified, config, INGESTED)
                 if self.on_invalid == "null_row":
                     rows = rows.unionByName(null_rows(classified, config, INGESTED))
-                tables.append_batch(rows, config, batch_id, self.cluster)
+                tables.append_batch(rows, config, cluster=self.cluster)
             if self.on_invalid == "quarantine":
-                tables.append_batch(self._rejects(classified), self.quarantine, batch_id)
+                tables.append_batch(self._rejects(classified), self.quarantine)
         finally:
             classified.unpersist()
 

@@ -60,7 +60,29 @@ def test_same_batch_twice_is_one_copy(spark, demo):
         tables.append_batch(rows(spark, 10, start=10 * batch), demo, batch)
     table = tables.read_table(spark, demo.table)
     assert table.count() == 20 and table.select("user_id").distinct().count() == 20
-    assert tables.next_batch(spark, demo.table) == 2
+
+
+def test_batches_are_numbered_by_ingestion_time(spark, demo):
+    at = dt.datetime(2024, 5, 1, tzinfo=dt.timezone.utc)
+    for _ in range(2):
+        tables.append_batch(rows(spark, 10).withColumn("_ingestion_timestamp", F.lit(at)), demo)
+    tables.backfill(spark, rows(spark, 10, 10), demo)
+    table = tables.read_table(spark, demo.table)
+    assert table.count() == 20
+    first, second = sorted(r[0] for r in table.select("_batch_id").distinct().collect())
+    assert first == int(at.timestamp() * 1000) < second
+
+
+def test_partitions_merged_in_one_job_keep_their_own_commits(spark, demo):
+    """Day 1 ends with batch 1, day 2 with batch 2; a replay of batch 2 may still write day 1."""
+    day1, day2 = [rows(spark, 30).where(F.col("event_date") == F.date_add(F.lit(DAY0), i)) for i in (0, 1)]
+    for batch, part in ((0, day1), (1, day1), (0, day2), (2, day2)):
+        tables.append_batch(part, demo, batch) if batch else tables.append_batch(
+            part.withColumn("user_id", F.lit("first")), demo, batch)
+    assert tables.compact(spark, demo, include_latest=True) == 2
+    assert sorted(p.commit for p in tables.list_partitions(spark, demo.table)) == [3, 5]
+    tables.append_batch(day1.unionByName(day2), demo, 2)
+    assert tables.read_table(spark, demo.table).count() == 50
 
 
 def test_unpartitioned_table(spark, config, database, tmp_path):
