@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logweir.operators.tables import COMMIT, read_table
+from logweir.operators.tables import COMMIT, quoted, read_table
 
 _MB = 1024.0 * 1024.0
 
@@ -69,7 +69,7 @@ def tables(spark: SparkSession, database: str) -> DataFrame:
 
 
 def describe(spark: SparkSession, table: str) -> DataFrame:
-    return spark.sql(f"DESCRIBE TABLE {table}")
+    return spark.sql(f"DESCRIBE TABLE {quoted(table)}")
 
 
 def databases(spark: SparkSession) -> DataFrame:

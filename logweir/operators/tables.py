@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+import json
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -178,8 +179,8 @@ def drop_tables(spark: SparkSession, database: str) -> list[str]:
 
 
 def table_path(spark: SparkSession, table: str) -> str:
-    info = spark.sql(f"DESCRIBE EXTENDED {quoted(table)}").where("col_name = 'Location'")
-    return info.first()["data_type"]
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)} AS JSON").first()[0]
+    return json.loads(described)["location"]
 
 
 @dataclasses.dataclass(frozen=True)

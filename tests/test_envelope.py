@@ -109,3 +109,20 @@ def test_bytes_payload(spark, config):
     c = config("api_metrics", "d")
     assert E.decode(rows, c).first().status_code == 200
     assert E.classify(rows, [c]).first()["_reason"] is None
+
+
+def test_odd_values_survive_the_trip(spark, config):
+    """Text with quotes, control and wide characters, extreme numbers, early dates."""
+    c = config("all_types", "d")
+    texts = ["", "null", '"', "\\", "a\nb\tc\r", "\u0001\u001f", "é ü 漢字 😀", "{\"a\":1}", "</x>", " padded "]
+    values = [
+        (t, 2**31 - 1 - i, -(2**63) + i, float(i) / 8, [1e308, -0.0, 1 / 3, 5e-324, 2.0**53][i % 5], i % 2 == 0,
+         dt.datetime(1969, 12, 31, 23, 59, 59, 999999 - i), dt.date(1, 1, 1 + i), [t, "x"], [i, -i], [2**62 + i], {t: t})
+        for i, t in enumerate(texts)
+    ]
+    schema = E.record_schema(c.fields)
+    rows = spark.createDataFrame(values, schema)
+    messages = E.encode(rows, c)
+    back = E.decode(messages, c)
+    assert sorted(map(str, back.collect())) == sorted(map(str, rows.collect()))
+    assert {r["_reason"] for r in E.classify(messages, [c]).select("_reason").collect()} == {None}
