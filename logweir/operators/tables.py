@@ -236,12 +236,18 @@ def drop_partitions(spark: SparkSession, table: str, partitions: list[Partition]
     return len(partitions)
 
 
-def superseded(partitions: list[Partition]) -> list[Partition]:
-    """Partitions a finished compaction has replaced but not yet dropped."""
+def _compacted(partitions: list[Partition]) -> dict[tuple, int]:
+    """Newest compaction of each table partition that has one."""
     latest: dict[tuple, int] = {}
     for p in partitions:
         if p.commit % 2:
             latest[p.group] = max(p.commit, latest.get(p.group, -1))
+    return latest
+
+
+def superseded(partitions: list[Partition]) -> list[Partition]:
+    """Partitions a finished compaction has replaced but not yet dropped."""
+    latest = _compacted(partitions)
     return [p for p in partitions if p.commit < latest.get(p.group, -1)]
 
 
@@ -249,12 +255,16 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
     """The table as the catalog has it now, without rows a running compaction shows twice.
 
     Streams write through sessions of their own, so what this session remembers of the files
-    is dropped first.
+    is dropped first.  Compaction finishes one bounded job before the next, so the rows to hide
+    lie in a bounded number of table partitions.
     """
     spark.catalog.refreshTable(table)
-    stale = superseded(list_partitions(spark, table))
+    listed = list_partitions(spark, table)
+    latest = _compacted(listed)
     rows = spark.table(table)
-    return rows.where(~_any_of(rows, [p.values for p in stale])) if stale else rows
+    for group in {p.group for p in superseded(listed)}:
+        rows = rows.where(~(_any_of(rows, [group]) & (F.col(COMMIT) < latest[group])))
+    return rows
 
 
 def _any_of(rows: DataFrame, groups: list[tuple]) -> Column:

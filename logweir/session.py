@@ -47,15 +47,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def spread(rows: DataFrame, *by: str) -> DataFrame:
-    """Use all cores for costly work per row when a scan gives few splits.
+    """Use more cores for costly work per row when a scan gives few splits, at most 8 per split.
 
     Large inputs come in many splits and are left alone.  Give it scans only: counting splits
     plans the rows, and would run shuffles among them.  ``by`` should tell rows apart.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() * 2 > cores:
+    splits = rows.rdd.getNumPartitions()
+    if splits * 2 > cores:
         return rows
-    return rows.repartition(cores, *by)
+    return rows.repartition(min(cores, 8 * max(splits, 1)), *by)
 
 
 @contextlib.contextmanager
