@@ -2,19 +2,36 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import os
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from logweir.session import shared_dir
+from logweir.session import delete_paths, shared_dir
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 SPACE = "[\\x20\\x09-\\x0D]+"
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver found it.
+
+    A cluster whose machines do not have it there gets it with --py-files, as usual.
+    """
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *known]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -33,6 +50,26 @@ def cut(df: DataFrame) -> DataFrame:
     return kept
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write the rows as Parquet to the shared folder and read them again; the files go when the driver ends."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    atexit.register(_forget, spark, path)
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.parquet(path)
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended before
+        delete_paths(spark, [path])
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where a public vocabulary file lies."""
+    return public_tokenizers.path(name)
+
+
 def word_count(text: Column) -> Column:
     """Words of a text; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

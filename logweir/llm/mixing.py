@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from logweir.llm.common import cut, word_count
+from logweir.llm.common import SPACE, WORD, cut, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -104,7 +104,8 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     joined = joined.withColumn("_taken", F.element_at("_shares", F.col("_twin"))).filter("_taken > 0")
     epochs = F.explode(F.sequence(F.lit(0), F.ceil(F.col("_taken") / F.col("_size")).cast("int") - 1))
     copies = joined.withColumn("_epoch", epochs).withColumn("_words", F.least(F.col("_taken") - F.col("_epoch") * F.col("_size"), F.col("_size")))
-    head = F.regexp_extract(F.col("text"), F.concat(F.lit("^(?:[\\x20\\x09-\\x0D]*+[^\\x20\\x09-\\x0D]++){"), F.col("_words").cast("string"), F.lit("}")), F.lit(0))
+    pieces = F.regexp_extract_all("text", F.lit(f"(?:{SPACE})?{WORD}"), F.lit(0))
+    head = F.array_join(F.slice(pieces, F.lit(1), F.col("_words").cast("int")), "")
     out = copies.withColumn("text", F.when(F.col("_words") == F.col("_size"), F.col("text")).otherwise(head))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

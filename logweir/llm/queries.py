@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logweir.llm import line_quality, mixing
-from logweir.llm.common import table
+import corpus_pipeline
+from logweir.llm import bpe, line_quality, mixing, near_dup, suffix_dedup
+from logweir.llm.common import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,12 +26,33 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op4_near_dup", near_dup.ORACLE)
+def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = near_dup.classify(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query("op5_line_quality", line_quality.ORACLE)
 def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.judge(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_boilerplate_words", "kept")
 
 
+@query("op6_suffix_dedup")
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removals(table(spark, sf_dir, "documents"))
+
+
+@query("op7_bpe")
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 @query("op8_mixing", mixing.ORACLE)
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
