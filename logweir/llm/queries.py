@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from logweir.llm import bpe, line_quality, mixing, near_dup, suffix_dedup
+from logweir.llm import bpe, language, line_quality, mixing, near_dup, suffix_dedup, toxicity
 from logweir.llm.common import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,12 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
 @query("op4_near_dup", near_dup.ORACLE)
 def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = near_dup.classify(table(spark, sf_dir, "documents"))
@@ -53,6 +59,12 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op10_language")
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.learn(docs))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
