@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from logweir.llm import bpe, language, line_quality, mixing, near_dup, neighbours, suffix_dedup, toxicity
+from logweir.llm import bpe, html_text, language, line_quality, mixing, near_dup, neighbours, suffix_dedup, toxicity
 from logweir.llm.common import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
+@query("op3_html_text")
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.learn(pages))
+
+
 @query("op4_near_dup", near_dup.ORACLE)
 def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = near_dup.classify(table(spark, sf_dir, "documents"))
