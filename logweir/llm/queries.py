@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from logweir.llm import bpe, html_text, language, line_quality, mixing, near_dup, neighbours, suffix_dedup, toxicity
+from logweir.llm import bpe, html_text, language, license_scan, line_quality, mixing, near_dup, neighbours, suffix_dedup, toxicity
 from logweir.llm.common import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_license_scan")
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 @query("op2_toxicity")
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
