@@ -86,6 +86,19 @@ def slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, rows)
 
 
-def with_row_key(df: DataFrame, *columns: str) -> DataFrame:
-    """Only the named columns, so that extra columns of the input cannot clash with an operator's own."""
-    return df.select(*[F.col(f"`{c}`") for c in columns])
+def packed(df: DataFrame) -> DataFrame:
+    """One struct column ``row`` with all columns but the text, and ``body``, the text: no name of the input can clash."""
+    rest = [F.col(f"`{c}`") for c in df.columns if c != "text"]
+    return df.select(F.struct(*rest).alias("row"), F.col("text").alias("body"))
+
+
+def unpacked(df: DataFrame, like: DataFrame, text_changed: bool = False) -> DataFrame:
+    """The columns of ``like`` again, from ``row`` and ``body``; ``n_chars``, if there, follows a text that was changed."""
+    def column(name: str) -> Column:
+        if name == "text":
+            return F.col("body")
+        if name == "n_chars" and text_changed:
+            return F.length("body").cast(like.schema[name].dataType)
+        return F.col("row").getField(name)
+
+    return df.select(*[column(c).alias(c) for c in like.columns])

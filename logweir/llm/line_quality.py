@@ -7,11 +7,12 @@ counted; a line is boilerplate on a host when at least ``min_docs`` documents an
 ``min_share`` of the host's documents hold it.  Such lines are removed, and a document is rejected
 when less than ``min_left`` of its words remain.
 
-Copies must not turn honest text into boilerplate, so documents are counted by a signature, the
-smallest MD5 among a text's normalised lines: exact copies have one signature and near copies mostly
-do, however many there are.
+Copies must not turn honest text into boilerplate, so what counts is how different the documents around
+a line are: each document gives the line a sign, the smallest MD5 among its other lines, and distinct
+signs are counted.  Exact copies give one sign and near copies mostly the same ones; where signs are fewer than
+``MIN_APART`` of the distinct texts that hold the line, those texts are copies and the line stays.
 
-Counting is two aggregations with map-side combination (distinct (host, line, signature), then lines),
+Counting is aggregations with map-side combination (distinct (host, line, sign), then lines),
 so a line in a third of all documents costs each task one row.  The lines above the limits go back to
 the documents over a salted join: ``SALT`` copies of each limit row, so one hot line is spread evenly.
 
@@ -24,13 +25,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from logweir.llm.common import SPACE, WORD, cut, word_count
+from logweir.llm.common import SPACE, WORD, cut, packed, unpacked, word_count
 
 MIN_WORDS = 20
 MOST_REPEATED = 30
 WINDOW = 8
 MIN_DOCS = 10
 MIN_SHARE = 0.01
+MIN_APART = 0.5
 MIN_LEFT = 0.5
 SALT = 16
 
@@ -72,9 +74,9 @@ def _covered(starts: Column) -> Column:
 KEY = ("doc_id", "host", "text_key")
 
 
-def _identity() -> list[Column]:
-    return [F.col("doc_id"), F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("host"),
-            F.xxhash64("text").alias("text_key")]
+def _identity(doc_id: str = "doc_id", source: str = "source", text: str = "text") -> list[Column]:
+    return [F.col(doc_id).alias("doc_id"), F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("")).alias("host"),
+            F.xxhash64(text).alias("text_key")]
 
 
 def base(docs: DataFrame) -> DataFrame:
@@ -107,19 +109,24 @@ def normalised(line: Column) -> Column:
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """One row per line with a word: the document's key, sign (its signature), pos, line (hash), n_words."""
+    """One row per line with a word: the document's key, sign (of the document around the line), pos, line (hash), n_words."""
     listed = docs.select(*_identity(), F.filter(F.transform(F.split("text", "\n"), normalised), lambda x: x != "").alias("_lines"))
-    signed = listed.withColumn("sign", F.array_min(F.transform("_lines", lambda x: F.md5(x.cast("binary")))))
-    return (signed.select(*KEY, F.xxhash64("sign").alias("sign"), F.posexplode("_lines").alias("pos", "_line"))
-            .select(*KEY, "sign", "pos", F.xxhash64("_line").alias("line"), word_count(F.col("_line")).alias("n_words")))
+    hashed = listed.select(*KEY, F.transform("_lines", lambda x: F.struct(F.md5(x.cast("binary")).alias("h"), word_count(x).alias("n"))).alias("_lines"))
+    least = hashed.withColumn("_least", F.slice(F.array_sort(F.array_distinct(F.transform("_lines", lambda x: x["h"]))), 1, 2))
+    each = least.select(*KEY, "_least", F.posexplode("_lines").alias("pos", "_line"))
+    around = F.when(F.get("_least", F.lit(0)) == F.col("_line.h"), F.get("_least", F.lit(1))).otherwise(F.get("_least", F.lit(0)))
+    return each.select(*KEY, F.xxhash64(F.coalesce(around, F.lit(""))).alias("sign"), "pos", F.xxhash64("_line.h").alias("line"),
+                       F.col("_line.n").alias("n_words"))
 
 
 def boilerplate(per_line: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
-    """Lines above the limits: host, line, n_docs, host_docs."""
-    held = per_line.select("host", "line", "sign").distinct()
-    often = held.groupBy("host", "line").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") >= min_docs)
-    hosts = per_line.select("host", "sign").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
-    return often.join(hosts, "host").filter(F.col("n_docs") >= min_share * F.col("host_docs"))
+    """Lines above the limits: host, line, n_docs (documents that differ around it), host_docs (distinct texts)."""
+    signs = per_line.select("host", "line", "sign").distinct().groupBy("host", "line").agg(F.count("*").alias("n_docs"))
+    often = signs.filter(F.col("n_docs") >= min_docs)
+    held = per_line.select("host", "line", "text_key").distinct().groupBy("host", "line").agg(F.count("*").alias("n_texts"))
+    hosts = per_line.select("host", "text_key").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
+    return (often.join(held, ["host", "line"]).filter(F.col("n_docs") >= MIN_APART * F.col("n_texts")).drop("n_texts")
+            .join(hosts, "host").filter(F.col("n_docs") >= min_share * F.col("host_docs")))
 
 
 def removable(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
@@ -128,7 +135,7 @@ def removable(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_
     Rows repeated in the whole key have their lines added up together: each line's position then comes
     as often as the row does, and the sum is divided by that.
     """
-    per_line = lines(docs)
+    per_line = cut(lines(docs))
     limits = boilerplate(per_line, min_docs, min_share).select("host", "line")
     limits = limits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
     salted = per_line.select(*KEY, "pos", "line", "n_words",
@@ -150,10 +157,12 @@ def judge(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHAR
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The documents that pass, with the columns of ``docs``."""
-    passed = judge(docs).filter("kept").select(*[F.col(c).alias(f"_{c}") for c in KEY]).distinct()
-    keyed = docs.withColumn("_h", _identity()[1]).withColumn("_t", _identity()[2])
-    same = [F.col("doc_id").eqNullSafe(F.col("_doc_id")), F.col("_h") == F.col("_host"), F.col("_t") == F.col("_text_key")]
-    return keyed.join(passed, same, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    passed = judge(docs).filter("kept").select(*[F.col(c).alias(f"p_{c}") for c in KEY]).distinct()
+    rows = packed(docs)
+    keyed = rows.select("row", "body", *_identity("row.doc_id", "row.source", "body"))
+    same = [F.col(c).eqNullSafe(F.col(f"p_{c}")) for c in KEY]
+    kept = keyed.join(passed, same, "left_semi").select("row", "body")
+    return unpacked(kept, docs)
 
 
 ORACLE = f"""
@@ -171,12 +180,14 @@ raw AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM texts),
 dups AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM raw WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
 lines AS (SELECT r, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'),
                                         '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line FROM raw),
-full_lines AS (SELECT l.r, t.host, l.line, min(md5(l.line)) OVER (PARTITION BY l.r) AS sign,
-                      len(regexp_extract_all(l.line, '[^\x20\x09-\x0D]+')) AS n
-               FROM lines l JOIN texts t USING (r) WHERE l.line <> ''),
-hosts AS (SELECT host, count(DISTINCT sign) AS n FROM full_lines GROUP BY host),
+hashed AS (SELECT l.r, t.host, t.text, l.line, md5(l.line) AS h, len(regexp_extract_all(l.line, '[^\\x20\\x09-\\x0D]+')) AS n
+           FROM lines l JOIN texts t USING (r) WHERE l.line <> ''),
+least_two AS (SELECT r, list_sort(list(DISTINCT h)) AS m FROM hashed GROUP BY r),
+full_lines AS (SELECT h.*, coalesce(CASE WHEN m[1] = h THEN m[2] ELSE m[1] END, '') AS sign FROM hashed h JOIN least_two USING (r)),
+hosts AS (SELECT host, count(DISTINCT text) AS n FROM full_lines GROUP BY host),
 limits AS (SELECT f.host, f.line FROM full_lines f JOIN hosts h USING (host) GROUP BY f.host, f.line, h.n
-           HAVING count(DISTINCT f.sign) >= {MIN_DOCS} AND count(DISTINCT f.sign) >= {MIN_SHARE} * h.n),
+           HAVING count(DISTINCT f.sign) >= {MIN_DOCS} AND count(DISTINCT f.sign) >= {MIN_SHARE} * h.n
+                  AND count(DISTINCT f.sign) >= {MIN_APART} * count(DISTINCT f.text)),
 gone AS (SELECT f.r, sum(f.n) AS n FROM full_lines f JOIN limits USING (host, line) GROUP BY f.r),
 counts AS (
   SELECT t.r, t.doc_id, len(regexp_extract_all(t.text, '[^\x20\x09-\x0D]+')) AS n_words,

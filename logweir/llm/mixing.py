@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from logweir.llm.common import SPACE, WORD, cut, word_count
+from logweir.llm.common import SPACE, WORD, cut, packed, unpacked, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -90,26 +90,22 @@ def taken(size: Column, source_size: Column, target: Column, start: Column) -> C
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself: a document taken in full once per epoch, and cut after its last word taken.
 
-    Keeps the columns of ``docs``.  Documents of which nothing is taken are not in it.  ``n_chars``, where
-    there is such a column, is that of the text as it then is.
+    Keeps the columns of ``docs``.  Documents of which nothing is taken are not in it.
     """
-    amounts = mix(docs).select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
-                               F.col("taken").alias("_taken"))
     # Rows that agree in id, source and size share the words taken of them, so each row is matched once.
-    amounts = amounts.groupBy("_id", "_source", "_size").agg(F.sort_array(F.collect_list("_taken"), asc=False).alias("_shares"))
-    sized = docs.withColumn("_n", word_count(F.col("text")))
-    twin = Window.partitionBy("doc_id", "source", "_n").orderBy("text")
-    joined = sized.withColumn("_twin", F.row_number().over(twin)).join(
-        amounts, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_n") == F.col("_size")))
-    joined = joined.withColumn("_taken", F.element_at("_shares", F.col("_twin"))).filter("_taken > 0")
-    epochs = F.explode(F.sequence(F.lit(0), F.ceil(F.col("_taken") / F.col("_size")).cast("int") - 1))
-    copies = joined.withColumn("_epoch", epochs).withColumn("_words", F.least(F.col("_taken") - F.col("_epoch") * F.col("_size"), F.col("_size")))
-    pieces = F.regexp_extract_all("text", F.lit(f"(?:{SPACE})?{WORD}"), F.lit(0))
-    head = F.array_join(F.slice(pieces, F.lit(1), F.col("_words").cast("int")), "")
-    out = copies.withColumn("text", F.when(F.col("_words") == F.col("_size"), F.col("text")).otherwise(head))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    amounts = (mix(docs).groupBy(F.col("doc_id").alias("a_id"), F.col("source").alias("a_source"), F.col("size").alias("a_size"))
+               .agg(F.sort_array(F.collect_list("taken"), asc=False).alias("shares")))
+    sized = packed(docs).select("row", "body", F.col("row.doc_id").alias("doc_id"), F.col("row.source").alias("source"),
+                                word_count(F.col("body")).alias("size"))
+    twin = Window.partitionBy("doc_id", "source", "size").orderBy("body")
+    joined = sized.withColumn("twin", F.row_number().over(twin)).join(
+        amounts, F.col("doc_id").eqNullSafe(F.col("a_id")) & F.col("source").eqNullSafe(F.col("a_source")) & (F.col("size") == F.col("a_size")))
+    dealt = joined.withColumn("taken", F.element_at("shares", F.col("twin"))).filter("taken > 0")
+    epochs = F.explode(F.sequence(F.lit(0), F.ceil(F.col("taken") / F.col("size")).cast("int") - 1))
+    copies = dealt.withColumn("epoch", epochs).withColumn("words", F.least(F.col("taken") - F.col("epoch") * F.col("size"), F.col("size")))
+    pieces = F.regexp_extract_all("body", F.lit(f"(?:{SPACE})?{WORD}"), F.lit(0))
+    head = F.array_join(F.slice(pieces, F.lit(1), F.col("words").cast("int")), "")
+    return unpacked(copies.withColumn("body", F.when(F.col("words") == F.col("size"), F.col("body")).otherwise(head)), docs, text_changed=True)
 
 
 ORACLE = """
