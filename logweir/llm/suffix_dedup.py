@@ -9,7 +9,7 @@ alone, so equal 100-byte strings have an anchor at the same offset, and one byte
    range-partition them by these tokens; buckets are sorted and neighbours compared.  A suffix whose
    anchor bytes are alone is done.  Of suffixes with equal surroundings all but the first are repeats,
    whole.  If an anchor has several surroundings, the first suffix of each stays open.  Groups at a
-   bucket's edge may go on in the next one: they stay open too, which costs work, not correctness.
+   bucket's edge may go on in the next one: they are compared string by string as below.
    Equal tokens are combined in each task first, so copies and shared passages do not gather anywhere.
 2. Open suffixes fetch their 168 bytes.  Those of one anchor meet in a bucket and are sorted to the
    right and to the left by multikey quicksort with common-prefix lengths; for each of the 69 offsets the
@@ -30,9 +30,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from logweir.llm.common import cut, slices
+from logweir.llm.common import cut, packed, slices, unpacked
 
 SPAN = 100
 GRAM = 32
@@ -105,9 +105,9 @@ def suffixes(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return at, own, around
 
 
-def _identity() -> list[Column]:
-    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"),
-            F.coalesce(F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)), F.lit(0)).cast("int").alias("tk")]
+def _identity(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
+    return [F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)).alias("doc"),
+            F.coalesce(F.xxhash64(text).bitwiseAND(F.lit(0x7FFFFFFF)), F.lit(0)).cast("int").alias("tk")]
 
 
 def _pack(*columns: np.ndarray) -> bytes:
@@ -216,7 +216,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edge = np.zeros(len(starts), bool)
         edge[[0, -1]] = True
         open_ = np.repeat((sizes > 1) | edge, sizes)
-        split = np.repeat((sizes > HOT) | (edge & (sizes > HOT // 64)), sizes)
+        split = np.repeat((sizes > HOT) | edge, sizes)  # parts of one group in two buckets go the same way
         found.append((doc[open_], at[open_], np.where(split[open_], SPLIT, FRESH)))
     if not found:
         return
@@ -461,9 +461,10 @@ def _cut_text(text: str | None, sure: list[bytes] | None, spans: list[dict] | No
 
 
 def _with_repeats(docs: DataFrame) -> DataFrame:
-    keyed = docs.withColumns({"_doc": _identity()[0], "_tk": _identity()[1]})
-    found = repeats(docs).select(F.col("doc").alias("_d"), F.col("tk").alias("_t"), F.col("sure").alias("_sure"), F.col("spans").alias("_spans"))
-    return keyed.join(found, (F.col("_doc") == F.col("_d")) & (F.col("_tk") == F.col("_t")), "left").drop("_doc", "_tk", "_d", "_t")
+    """row, body, sure, spans of every row of ``docs``."""
+    rows = packed(docs)
+    keyed = rows.select("row", "body", *_identity("row.doc_id", "body"))
+    return keyed.join(repeats(docs), ["doc", "tk"], "left").select("row", "body", "sure", "spans")
 
 
 def removals(docs: DataFrame) -> DataFrame:
@@ -472,7 +473,7 @@ def removals(docs: DataFrame) -> DataFrame:
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             for part in slices(batch):
-                done = [_cut_text(*x) for x in zip(*[part.column(c).to_pylist() for c in ("text", "_sure", "_spans")])]
+                done = [_cut_text(*x) for x in zip(*[part.column(c).to_pylist() for c in ("body", "sure", "spans")])]
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"), pa.array([len(d[0]) for d in done], pa.int64()),
                     pa.array([len(d[0]) - len(d[1]) for d in done], pa.int64()), pa.array([d[2] for d in done], pa.int64()),
@@ -480,7 +481,8 @@ def removals(docs: DataFrame) -> DataFrame:
                 ], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     rows = _with_repeats(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    return rows.mapInArrow(batches, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return (rows.select(F.col("row.doc_id").alias("doc_id"), "body", "sure", "spans")
+            .mapInArrow(batches, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
@@ -488,18 +490,14 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
     Where a cut goes through a character, the rest of that character goes too.
     """
-    names = docs.columns
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             for part in slices(batch):
-                texts = part.column("text").to_pylist()
-                done = [_cut_text(*x) for x in zip(texts, *[part.column(c).to_pylist() for c in ("_sure", "_spans")])]
+                texts = part.column("body").to_pylist()
+                done = [_cut_text(*x) for x in zip(texts, *[part.column(c).to_pylist() for c in ("sure", "spans")])]
                 new = [None if t is None else t if n == 0 else kept.decode(errors="ignore") for t, (_, kept, n) in zip(texts, done)]
-                yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if c == "text" else part.column(c) for c in names], names=names)
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(new, pa.string())], names=["row", "body"])
 
     rows = _with_repeats(docs)
-    out = rows.mapInArrow(batches, docs.schema)
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out
+    return unpacked(rows.mapInArrow(batches, T.StructType([rows.schema["row"], rows.schema["body"]])), docs, text_changed=True)
