@@ -66,6 +66,7 @@ class Automaton:
         self.filled = 0
         self.longest = max((len(s.removesuffix(end)) for s in vocab), default=0)
         self.dead: set[int] = set()
+        self.parts: set[int] = set()
         for time, (left, right) in enumerate(merges):
             self.add_gadget(time, vocab[left], vocab[right], vocab[left + right])
         self._gone.clear()
@@ -73,8 +74,9 @@ class Automaton:
     def add_gadget(self, time: int, left: int, right: int, token: int) -> None:
         if token in self.made:
             raise ValueError(f"two merges make {self.label[token]!r}")
-        if max(self.made.get(x, (-1,))[0] for x in (left, right)) >= time:
-            raise ValueError(f"merge {time} comes before its parts")
+        if token in self.parts:
+            raise ValueError(f"{self.label[token]!r} is merged before it is made")
+        self.parts.update((left, right))
         if self.gone(left, right) < time:  # no state can go left, right any more: the token gets no arc
             self.dead.add(token)
         self.made[token] = (time, left, right)
