@@ -30,13 +30,13 @@ from logweir.llm.common import slices
 from logweir.llm.license_templates import Template, templates
 
 TRIGGERS = r"(?i)licen[sc]|copyright|\bspdx\b|permission|redistribut|warrant|rights reserved|\bcc[ -](?:by|0)|\bcc0\b|free software|\bgpl"
-BEFORE, AFTER = 6, 40
 PIECE, OVERLAP = 900, 320
 LEVEL = 19
-RANKED = 12
-LEAST_SAVING = 0.2
+RANKED = 16
+LEAST_SAVING = 0.1
 MOST_MISSING = 0.2
 GAP = 12
+NARROW = 10  # half-overlapping windows of twice as many words, where a wider block shows nothing
 
 WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
 _TRIGGER = re.compile(TRIGGERS)
@@ -53,6 +53,13 @@ class Scanner:
         for words in self.words:
             raw = zstandard.ZstdCompressionDict(" ".join(words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.with_template.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=raw, write_content_size=False, write_checksum=False))
+        # Words that a template may have before its first trigger, and behind one until the next or its end.
+        self.before, self.after = 6, 30
+        for template in self.known:
+            words = [m.start() for m in WORD.finditer(template.text)]
+            triggers = [sum(w < m.start() for w in words) for m in _TRIGGER.finditer(template.text)]
+            self.before = max([self.before, *triggers[:1]])
+            self.after = max([self.after, *[b - a + 2 for a, b in zip(triggers, [*triggers[1:], len(words)])]])
         self.own = [max(1, len(self.plain.compress(" ".join(w).encode())) - 8) for w in self.words]
 
     def ranked(self, words: list[str]) -> list[tuple[float, int]]:
@@ -90,21 +97,29 @@ class Scanner:
             part = words[start:stop]
             if len(part) < 2 or not _TRIGGER.search(" ".join(part)):
                 continue
-            best = None
-            for saving, k in self.ranked(part)[:RANKED]:
-                found = self.compared(k, part)
-                if found is None:
-                    continue
-                begin, end, missing, extra = found
-                if len(missing) > MOST_MISSING * len(self.words[k]) or self.needed[k] & set(missing) or len(extra) > len(self.words[k]):
-                    continue
-                rank = (len(missing) + len(extra) - 0.5 * len(self.words[k]), -saving, k)
-                if best is None or rank < best[0]:
-                    best = (rank, begin, end, k, saving, missing, extra)
+            best = self.best(part)
             if best is not None:
                 _, begin, end, k, saving, missing, extra = best
                 yield start + begin, start + end, k, saving, missing, extra
                 open_ += [(start, start + begin), (start + end, stop)]
+            elif len(part) > 2 * NARROW:  # a short notice may drown in its surroundings
+                step = NARROW
+                open_ += [(start + i, min(stop, start + i + 2 * step)) for i in range(0, len(part) - step, step)]
+
+    def best(self, part: list[str]) -> tuple | None:
+        """The confirmed template with the fewest differences among the best ranked."""
+        best = None
+        for saving, k in self.ranked(part)[:RANKED]:
+            found = self.compared(k, part)
+            if found is None:
+                continue
+            begin, end, missing, extra = found
+            if len(missing) > MOST_MISSING * len(self.words[k]) or self.needed[k] & set(missing) or len(extra) > len(self.words[k]):
+                continue
+            rank = (len(missing) + len(extra) - 0.5 * len(self.words[k]), -saving, k)
+            if best is None or rank < best[0]:
+                best = (rank, begin, end, k, saving, missing, extra)
+        return best
 
     def text(self, text: str | None) -> list[dict]:
         if not text or not _TRIGGER.search(text):
@@ -117,7 +132,7 @@ class Scanner:
         for trigger in _TRIGGER.finditer(text):
             while at < len(starts) and places[at][1] <= trigger.start():
                 at += 1
-            begin, end = max(0, at - BEFORE), min(len(words), at + AFTER)
+            begin, end = max(0, at - self.before), min(len(words), at + self.after)
             if windows and begin <= windows[-1][1]:
                 windows[-1][1] = max(windows[-1][1], end)
             else:

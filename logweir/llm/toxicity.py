@@ -21,6 +21,7 @@ given weights; rows with equal texts get equal scores; an empty table gives no r
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -63,6 +64,7 @@ LISTED = {**{w: REPORT for w in REPORTS}, **{w: NEGATION for w in NEGATIONS}, **
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "“”„«»‘’…"
 QUOTES = "\"“”„«»"
 CLAUSE_ENDS = ".!?;:|"
+DRAWN_OUT = re.compile(r"(.)\1{2,}")
 DIGITS = str.maketrans("0134578@$", "oieastbas")  # look-alikes
 
 # What the composed transducer emits for an insult or a threat.
@@ -189,8 +191,7 @@ def _plain(word: str) -> str:
     """Look-alike digits as letters, and letters drawn out as one."""
     if any(c.isdigit() or c in "@$" for c in word) and any(c.isalpha() for c in word):
         word = word.translate(DIGITS)
-    out = [c for i, c in enumerate(word) if i < 2 or not c == word[i - 1] == word[i - 2]]
-    return "".join(out)
+    return DRAWN_OUT.sub(r"\1", word)
 
 
 def fit(features: np.ndarray, labels: np.ndarray, steps: int = 60, ridge: float = 1.0) -> tuple[list[float], float]:
