@@ -342,19 +342,36 @@ def session_steps(events: DataFrame, steps: Sequence[str], time: str = "timestam
     return events.groupBy("user_id", "session_id").agg(*firsts)
 
 
+def reached_steps(events: DataFrame, steps: Sequence[str], time: str = "timestamp") -> DataFrame:
+    """When each session reached each step: the first time of a step at or after the one before was reached.
+
+    One shuffle by session; each step is an aggregate over the session on the same partitioning.
+    """
+    session = Window.partitionBy("user_id", "session_id")
+    rows, before = events.select("user_id", "session_id", "event_type", F.col(time).alias("_at")), None
+    for number, step in enumerate(steps):
+        hit = F.col("event_type") == step
+        if before is not None:
+            hit = hit & (F.col("_at") >= F.col(before))
+        before = f"_reached_{number}"
+        rows = rows.withColumn(before, F.min(F.when(hit, F.col("_at"))).over(session))
+    return rows.groupBy("user_id", "session_id").agg(*[F.min(f"_reached_{n}").alias(s) for n, s in enumerate(steps)])
+
+
 def funnel(events: DataFrame, steps: Sequence[str], time: str = "timestamp") -> DataFrame:
     """Sessions that reached each step after the one before it."""
-    per_session = session_steps(events, steps, time)
-    reached = F.col(steps[0]).isNotNull()
-    counts = [_sum_if(reached).alias(steps[0])]
-    for before, step in zip(steps, steps[1:]):
-        reached = reached & (F.col(step) >= F.col(before))
-        counts.append(_sum_if(F.coalesce(reached, F.lit(False))).alias(step))
-    wide = per_session.agg(*counts)
+    wide = reached_steps(events, steps, time).agg(*[F.count(F.col(f"`{s}`")).alias(s) for s in steps])
     pairs = ", ".join(f"{i}, '{s}', `{s}`" for i, s in enumerate(steps))
     return wide.selectExpr(f"stack({len(steps)}, {pairs}) AS (step_no, step, sessions)")
 
 
+def session_paths(events: DataFrame, time: str = "timestamp", tie: str = "event_id") -> DataFrame:
+    """Each session's event types in order of time, joined by ``>``; equal times go by ``tie``."""
+    ordered = F.array_sort(F.collect_list(F.struct(F.col(time).alias("at"), F.col(tie).alias("tie"), "event_type")))
+    return events.groupBy("user_id", "session_id").agg(
+        F.array_join(F.transform(ordered, lambda e: e["event_type"]), ">").alias("path"), _rows().alias("events"))
+
+
 def user_day_features(events: DataFrame, time: str = "timestamp") -> DataFrame:
     """Per user and day: activity figures to learn from."""
     return events.groupBy("user_id", "event_date").agg(

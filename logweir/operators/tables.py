@@ -1,13 +1,16 @@
 """Log tables: partitioned Parquet tables in the session catalog, one per log type.
 
 Beside the business columns every table has ``_ingestion_timestamp``, ``_ingestion_date`` and
-``_batch_id``, and a last partition column ``_commit`` that names the write a file came from:
-``2 * batch`` for an appended batch, ``2 * batch + 1`` for a compaction of all batches up to
-``batch``.  A batch is numbered by its ingestion time in milliseconds, which a stream repeats when
-it replays the batch, so writers and new checkpoints need not agree on numbers.  A batch written
-twice overwrites its own partitions, so a replay adds nothing, and a compaction never writes over
-a partition that readers use.  The catalog's partition list says which files count; a partition
-is listed only after its files are complete.
+``_batch_id``, and a last partition column ``_commit`` that names the write a file came from: an even
+number, twice the batch, for an appended batch, and an odd one of its own for a compaction.  A batch is
+numbered by its ingestion time in milliseconds, which a stream repeats when it replays the batch.  A
+batch written again first drops what its earlier attempt left, so a replay adds and keeps nothing else.
+
+Which rows a compaction replaces is never told from numbers: each job notes the partitions it merges in a
+small file under ``_notes`` before it writes and once more when it has written.  What a note of an
+unfinished job names is not shown twice, and the next run drops exactly that.  Drops are noted too, so
+files whose deletion was interrupted do not come back.  ``_notes/table.json`` keeps the schema, layout and
+codec, from which a new session takes the table back.
 """
 
 from __future__ import annotations
@@ -15,16 +18,19 @@ from __future__ import annotations
 import dataclasses
 import datetime as dt
 import json
+import time
+import uuid
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from logweir.functions.envelope import with_ingestion_time
-from logweir.functions.types import FIELD_TYPES, record_schema, table_ddl, widens
-from logweir.session import delete_paths, path_exists, session_conf
+from logweir.functions.types import FIELD_TYPES, WIDENINGS, record_schema, table_ddl, widens
+from logweir.session import delete_paths, list_names, path_exists, read_text, session_conf, write_text
 from logweir.sources.configs import LogConfig
 
 COMMIT = "_commit"
+NOTES = "_notes"
 SYSTEM_FIELDS = [
     T.StructField("_ingestion_timestamp", T.TimestampType()),
     T.StructField("_ingestion_date", T.DateType()),
@@ -62,15 +68,35 @@ def create_table(spark: SparkSession, config: LogConfig, warehouse: str, table:
     """Define the table over ``warehouse/db/name``; files already there are picked up."""
     table = table or config.table
     path = f"{warehouse}/{config.table.replace('.', '/')}"
-    columns = T.StructType([*(schema or table_schema(config)), T.StructField(COMMIT, T.LongType())])
+    schema = schema or table_schema(config)
+    columns = T.StructType([*schema, T.StructField(COMMIT, T.LongType())])
     parts = ", ".join(f"`{c}`" for c in [*config.partition_by, COMMIT])
     spark.sql(
         f"CREATE TABLE {quoted(table)} ({table_ddl(columns)}) USING parquet "
         f"OPTIONS ('compression' = '{codec}') PARTITIONED BY ({parts}) LOCATION '{path}' "
         f"TBLPROPERTIES ('sort_by' = '{','.join(config.sort_by)}')"
     )
-    if table == config.table and path_exists(spark, path):
-        spark.sql(f"ALTER TABLE {quoted(table)} RECOVER PARTITIONS")
+    if table == config.table:
+        if path_exists(spark, path):
+            _delete_leftovers(spark, path)
+            spark.sql(f"ALTER TABLE {quoted(table)} RECOVER PARTITIONS")
+        _remember(spark, path, schema, config.partition_by, codec)
+
+
+def _remember(spark: SparkSession, path: str, schema: T.StructType, layout: tuple[str, ...], codec: str) -> None:
+    """Keep a table's definition with its files."""
+    names = {COMMIT}
+    kept = T.StructType([f for f in schema if f.name not in names])
+    write_text(spark, f"{path}/{NOTES}/table.json",
+               json.dumps({"schema": kept.jsonValue(), "partition_by": list(layout), "codec": codec}))
+
+
+def _remembered(spark: SparkSession, path: str) -> tuple[T.StructType, tuple[str, ...], str] | None:
+    text = read_text(spark, f"{path}/{NOTES}/table.json")
+    if text is None:
+        return None
+    kept = json.loads(text)
+    return T.StructType.fromJson(kept["schema"]), tuple(kept["partition_by"]), kept["codec"]
 
 
 def schema_rows(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
@@ -108,21 +134,27 @@ def ensure_table(spark: SparkSession, config: LogConfig, warehouse: str,
     if config.table.count(".") != 1:
         raise ValueError(f"table name must be database.table: {config.table}")
     ensure_database(spark, config.table.split(".")[0], warehouse)
+    path = f"{warehouse}/{config.table.replace('.', '/')}"
     if not spark.catalog.tableExists(config.table):
-        create_table(spark, config, warehouse, codec=codec)
-        return config, []
+        known = _remembered(spark, path)
+        if known is None:
+            create_table(spark, config, warehouse, codec=codec)
+            return config, []
+        # Another session made the table: take it back as it was, then evolve it.
+        create_table(spark, dataclasses.replace(config, partition_by=known[1]), warehouse, schema=known[0], codec=known[2])
     current = business_schema(spark, config.table)
     desired = record_schema(config.fields)
-    diff = schema_diff(
-        schema_rows(spark, config.table, current), schema_rows(spark, config.table, desired)
-    ).where("action <> 'unchanged'").collect()
+    diff = _differences(config.table, current, desired)
     by_action = {a: [r["field"] for r in diff if r["action"] == a] for a in ("add", "widen", "keep_current")}
+    layout = partition_columns(spark, config.table)
     if by_action["widen"]:
-        _widen(spark, config, warehouse, by_action["widen"])
+        _widen(spark, dataclasses.replace(config, partition_by=layout), warehouse, by_action["widen"])
     if by_action["add"]:
         new = T.StructType([f for f in desired if f.name in by_action["add"]])
         spark.sql(f"ALTER TABLE {quoted(config.table)} ADD COLUMNS ({table_ddl(new)})")
-    layout = partition_columns(spark, config.table)
+    if by_action["widen"] or by_action["add"]:
+        known = _remembered(spark, path)
+        _remember(spark, path, spark.table(config.table).schema, layout, known[2] if known else codec)
     if layout != config.partition_by:
         diff.append(T.Row(table_name=config.table, field="partition_by", current=",".join(layout),
                           desired=",".join(config.partition_by), action="keep_current"))
@@ -135,6 +167,19 @@ def ensure_table(spark: SparkSession, config: LogConfig, warehouse: str,
     return dataclasses.replace(config, fields=fields, partition_by=layout), diff
 
 
+def _differences(table: str, current: T.StructType, desired: T.StructType) -> list[T.Row]:
+    """What ``schema_diff`` says of one table whose two field lists the driver holds, without the unchanged."""
+    have, want = ({f.name: f.dataType.simpleString() for f in schema} for schema in (current, desired))
+    out = []
+    for name in [*have, *[n for n in want if n not in have]]:
+        old, new = have.get(name), want.get(name)
+        action = ("add" if old is None else "removed" if new is None else "unchanged" if old == new
+                  else "widen" if (old, new) in WIDENINGS else "keep_current")
+        if action != "unchanged" and not name.startswith("_"):
+            out.append(T.Row(table_name=table, field=name, current=old, desired=new, action=action))
+    return out
+
+
 def partition_columns(spark: SparkSession, table: str) -> tuple[str, ...]:
     columns = spark.catalog.listColumns(table)
     return tuple(c.name for c in columns if c.isPartition and c.name != COMMIT)
@@ -147,8 +192,8 @@ def business_schema(spark: SparkSession, table: str) -> T.StructType:
 def _widen(spark: SparkSession, config: LogConfig, warehouse: str, names: list[str]) -> None:
     """Give columns their wider type.  Old files stay: Parquet reads them as the wider type.
 
-    A second definition over the same files takes the place of the first, so one of the two
-    is complete at any moment.
+    A second definition over the same files takes the place of the first; layout and codec stay.  Between
+    the two a reader may find no table; the definition kept with the files brings it back after a crash.
     """
     desired = record_schema(config.fields)
     schema = T.StructType(
@@ -156,8 +201,9 @@ def _widen(spark: SparkSession, config: LogConfig, warehouse: str, names: list[s
          for f in spark.table(config.table).schema if f.name != COMMIT]
     )
     wider = f"{config.table}__wider"
+    known = _remembered(spark, f"{warehouse}/{config.table.replace('.', '/')}")
     spark.sql(f"DROP TABLE IF EXISTS {quoted(wider)}")
-    create_table(spark, config, warehouse, wider, schema)
+    create_table(spark, config, warehouse, wider, schema, known[2] if known else "snappy")
     for chunk in _chunks(list_partitions(spark, config.table)):
         specs = " ".join(p.spec for p in chunk)
         spark.sql(f"ALTER TABLE {quoted(wider)} ADD IF NOT EXISTS {specs}")
@@ -204,10 +250,11 @@ class Partition:
         return "PARTITION (" + ", ".join(f"`{k}`={_literal(v)}" for k, v in self.values) + ")"
 
 
-def list_partitions(spark: SparkSession, table: str) -> list[Partition]:
-    """Partitions in the catalog.  Metadata only; no file is opened."""
+def list_partitions(spark: SparkSession, table: str, commit: int | None = None) -> list[Partition]:
+    """Partitions in the catalog, all or those of one commit.  Metadata only; no file is opened."""
     out = []
-    for row in spark.sql(f"SHOW PARTITIONS {quoted(table)}").collect():
+    only = "" if commit is None else f" PARTITION (`{COMMIT}`='{commit}')"
+    for row in spark.sql(f"SHOW PARTITIONS {quoted(table)}{only}").collect():
         pairs = [part.split("=", 1) for part in row[0].split("/")]
         values = [(unquote(k), None if v == _NULL_PARTITION else unquote(v)) for k, v in pairs]
         out.append(Partition(row[0], tuple(values)))
@@ -225,45 +272,65 @@ def _chunks(items: list, size: int = _DDL_CHUNK) -> list[list]:
 def drop_partitions(spark: SparkSession, table: str, partitions: list[Partition]) -> int:
     """Take partitions out of the catalog, then delete their files.
 
-    In this order a reader that plans in between finds them gone rather than half there; a
-    crash in between leaves files nobody lists.
+    In this order a reader that plans in between finds them gone rather than half there.  A note
+    of the folders is kept until they are deleted, so a crash in between brings nothing back.
     """
     root = table_path(spark, table)
     for chunk in _chunks(partitions):
+        note = f"{root}/{NOTES}/drop-{uuid.uuid4().hex}.json"
+        write_text(spark, note, json.dumps([p.path for p in chunk]))
         specs = ", ".join(p.spec for p in chunk)
         spark.sql(f"ALTER TABLE {quoted(table)} DROP IF EXISTS {specs}")
         delete_paths(spark, [f"{root}/{p.path}" for p in chunk])
+        delete_paths(spark, [note])
     return len(partitions)
 
 
-def _compacted(partitions: list[Partition]) -> dict[tuple, int]:
-    """Newest compaction of each table partition that has one."""
-    latest: dict[tuple, int] = {}
-    for p in partitions:
-        if p.commit % 2:
-            latest[p.group] = max(p.commit, latest.get(p.group, -1))
-    return latest
+def _delete_leftovers(spark: SparkSession, root: str) -> None:
+    """Delete folders whose drop was noted but not finished."""
+    for name in list_names(spark, f"{root}/{NOTES}"):
+        if name.startswith("drop-") and name.endswith(".json"):
+            paths = json.loads(read_text(spark, f"{root}/{NOTES}/{name}"))
+            delete_paths(spark, [*[f"{root}/{p}" for p in paths], f"{root}/{NOTES}/{name}"])
+
 
+@dataclasses.dataclass(frozen=True)
+class MergeNote:
+    """What one compaction job merges, and the commit it writes; ``written`` once that is complete."""
 
-def superseded(partitions: list[Partition]) -> list[Partition]:
-    """Partitions a finished compaction has replaced but not yet dropped."""
-    latest = _compacted(partitions)
-    return [p for p in partitions if p.commit < latest.get(p.group, -1)]
+    path: str
+    commit: int
+    merged: tuple[Partition, ...]
+    written: bool
+
+
+def merge_notes(spark: SparkSession, table: str) -> list[MergeNote]:
+    """Notes of compaction jobs that are running or were interrupted; one at a time is usual."""
+    folder = f"{table_path(spark, table)}/{NOTES}"
+    names = list_names(spark, folder)
+    out = []
+    for name in names:
+        if name.startswith("merge-") and name.endswith(".json"):
+            note = json.loads(read_text(spark, f"{folder}/{name}"))
+            merged = tuple(Partition(p["path"], tuple((k, v) for k, v in p["values"])) for p in note["merged"])
+            out.append(MergeNote(f"{folder}/{name}", note["commit"], merged, f"{name}.written" in names))
+    return out
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
-    """The table as the catalog has it now, without rows a running compaction shows twice.
+    """The table as it is now, each row once while a compaction runs.
 
     Streams write through sessions of their own, so what this session remembers of the files
-    is dropped first.  Compaction finishes one bounded job before the next, so the rows to hide
-    lie in a bounded number of table partitions.
+    is dropped first.  The rows to hide are those the notes of unfinished jobs name: the merged
+    partitions if the new ones are complete, the new ones if not.  No partitions are listed.
     """
     spark.catalog.refreshTable(table)
-    listed = list_partitions(spark, table)
-    latest = _compacted(listed)
     rows = spark.table(table)
-    for group in {p.group for p in superseded(listed)}:
-        rows = rows.where(~(_any_of(rows, [group]) & (F.col(COMMIT) < latest[group])))
+    for note in merge_notes(spark, table):
+        if note.written:
+            rows = rows.where(~_any_of(rows, [p.values for p in note.merged]))
+        else:
+            rows = rows.where(F.col(COMMIT) != note.commit)
     return rows
 
 
@@ -285,9 +352,18 @@ def append_batch(df: DataFrame, config: LogConfig, batch_id: int | None = None,
                  max_records_per_file: int = 0) -> None:
     """Write one batch of rows to the table; the same batch again replaces itself.
 
-    The batch number is the rows' ingestion time unless given.  Numbers must grow over time.
+    The batch number is the rows' ingestion time unless given.  With a number given, whatever an earlier
+    attempt of the batch left is dropped first, also in partitions that this attempt does not write.
     """
     number = F.unix_millis("_ingestion_timestamp") if batch_id is None else F.lit(batch_id).cast("long")
+    if batch_id is not None:
+        spark = df.sparkSession
+        drop_partitions(spark, config.table, list_partitions(spark, config.table, 2 * batch_id))
+        if batch_id in _merged_latest(spark, config.table):
+            recover(spark, config.table)
+            merged = [p for p in list_partitions(spark, config.table) if p.commit % 2]
+            for chunk in _chunks(merged, 200):
+                _rewrite(spark, config, chunk, F.col("_batch_id") != batch_id)
     rows = df.withColumn("_batch_id", number).withColumn(COMMIT, F.col("_batch_id") * 2)
     write_rows(rows, config, cluster, max_records_per_file)
 
@@ -319,8 +395,37 @@ def write_rows(df: DataFrame, config: LogConfig, cluster: bool = True, max_recor
 
 
 def recover(spark: SparkSession, table: str) -> int:
-    """Finish compactions that stopped between writing and dropping."""
-    return drop_partitions(spark, table, superseded(list_partitions(spark, table)))
+    """Finish or undo compactions that were interrupted; returns the partitions dropped.
+
+    If the new partitions were complete, exactly the merged ones are dropped, else the new ones.
+    """
+    _delete_leftovers(spark, table_path(spark, table))
+    dropped = 0
+    for note in merge_notes(spark, table):
+        gone = list(note.merged) if note.written else list_partitions(spark, table, note.commit)
+        dropped += drop_partitions(spark, table, gone)
+        delete_paths(spark, [f"{note.path}.written", note.path])
+    return dropped
+
+
+def _rewrite(spark: SparkSession, config: LogConfig, old: list[Partition], keep: Column | None = None,
+             max_records_per_file: int = 0) -> None:
+    """One job: write the rows of partitions (those to keep) under a commit of their own, then drop the partitions."""
+    table = config.table
+    commit = 2 * int(time.time() * 1000) + 1
+    while list_partitions(spark, table, commit):
+        commit += 2
+    note = f"{table_path(spark, table)}/{NOTES}/merge-{commit}.json"
+    write_text(spark, note, json.dumps({"commit": commit, "merged": [{"path": p.path, "values": p.values} for p in old]}))
+    spark.catalog.refreshTable(table)
+    rows = spark.table(table)
+    rows = rows.where(_any_of(rows, [p.values for p in old]))
+    if keep is not None:
+        rows = rows.where(keep)
+    write_rows(rows.withColumn(COMMIT, F.lit(commit)), config, max_records_per_file=max_records_per_file)
+    write_text(spark, f"{note}.written", "")
+    drop_partitions(spark, table, old)
+    delete_paths(spark, [f"{note}.written", note])
 
 
 def compact(spark: SparkSession, config: LogConfig, include_latest: bool = False,
@@ -328,45 +433,35 @@ def compact(spark: SparkSession, config: LogConfig, include_latest: bool = False
     """Merge the commits of each table partition into one, sorted; returns partitions merged.
 
     The newest batch is left out unless ``include_latest``: a stream may be about to write it
-    again.  Works through the table in jobs of a bounded number of partitions, so a lost driver
-    costs one job; what is done stays done.
+    again (that is noticed, and costs a rewrite).  Works through the table in jobs of a bounded number
+    of partitions, so a lost driver costs one job; what is done stays done.  A job drops exactly the
+    partitions it has read: batches that come in meanwhile, whatever their number, are not touched.
     """
     table = config.table
     recover(spark, table)
     parts = list_partitions(spark, table)
-    newest = max((p.commit // 2 for p in parts), default=0)
-    limit = 2 * newest + 1 if include_latest else 2 * newest - 1
+    newest = max((p.commit for p in parts if p.commit % 2 == 0), default=None)
     groups: dict[tuple, list[Partition]] = {}
     for p in parts:
-        if p.commit <= limit:
+        if include_latest or p.commit != newest:
             groups.setdefault(p.group, []).append(p)
-    merge = [(group, ps) for group, ps in groups.items() if len(ps) > 1]
+    merge = [ps for ps in groups.values() if len(ps) > 1]
+    if include_latest and newest is not None:
+        _note_merged_latest(spark, table, newest // 2)
     for chunk in _chunks(merge, groups_per_job):
-        merged = {group: max(p.commit for p in ps) | 1 for group, ps in chunk}
-        spark.catalog.refreshTable(table)
-        rows = spark.table(table)
-        picked = rows.where((F.col(COMMIT) <= limit) & _any_of(rows, list(merged)))
-        write_rows(_with_commits(picked, merged), config, max_records_per_file=max_records_per_file)
-        drop_partitions(spark, table, [p for _, ps in chunk for p in ps])
+        _rewrite(spark, config, [p for ps in chunk for p in ps], max_records_per_file=max_records_per_file)
     return len(merge)
 
 
-def _with_commits(rows: DataFrame, commits: dict[tuple, int]) -> DataFrame:
-    """Rows with the commit of their partition.  The broadcast side is one row per partition of
-    the job, a number the caller bounds.
-    """
-    names = [name for name, _ in next(iter(commits))]
-    if not names:
-        return rows.withColumn(COMMIT, F.lit(commits[()]).cast("long"))
-    ddl = ", ".join(f"`p_{n}` string" for n in names) + ", new_commit long"
-    listed = rows.sparkSession.createDataFrame(
-        [(*[v for _, v in group], commit) for group, commit in commits.items()], ddl
-    )
-    listed = listed.select(*[F.col(f"`p_{n}`").cast(rows.schema[n].dataType).alias(f"p_{n}") for n in names],
-                           "new_commit")
-    on = [rows[f"`{n}`"].eqNullSafe(listed[f"`p_{n}`"]) for n in names]
-    joined = rows.drop(COMMIT).join(F.broadcast(listed), on)
-    return joined.withColumnRenamed("new_commit", COMMIT).drop(*[f"p_{n}" for n in names])
+def _merged_latest(spark: SparkSession, table: str) -> list[int]:
+    text = read_text(spark, f"{table_path(spark, table)}/{NOTES}/latest.json")
+    return json.loads(text) if text else []
+
+
+def _note_merged_latest(spark: SparkSession, table: str, batch: int) -> None:
+    """Remember a batch that was merged while it was the newest and may be written again."""
+    known = [b for b in _merged_latest(spark, table) if b != batch]
+    write_text(spark, f"{table_path(spark, table)}/{NOTES}/latest.json", json.dumps([*known, batch]))
 
 
 def date_column(config: LogConfig) -> str | None:
@@ -392,18 +487,15 @@ def apply_retention(spark: SparkSession, config: LogConfig, as_of: dt.date) -> i
 def rollback(spark: SparkSession, config: LogConfig, version: int) -> None:
     """Take back every batch after ``version``.
 
-    Later batches are dropped as partitions.  A compaction that reaches past ``version`` is
-    first rewritten without the later rows.
+    Later batches are dropped as partitions.  Compactions, which may hold rows of both sides, are
+    written again without the later rows.
     """
     table = config.table
     recover(spark, table)
-    later = [p for p in list_partitions(spark, table) if p.commit > 2 * version + 1]
-    spark.catalog.refreshTable(table)
-    for chunk in _chunks([p for p in later if p.commit % 2], 200):
-        rows = spark.table(table)
-        kept = rows.where(_any_of(rows, [p.values for p in chunk]) & (F.col("_batch_id") <= version))
-        write_rows(kept.withColumn(COMMIT, F.lit(2 * version + 1)), config)
-    drop_partitions(spark, table, later)
+    listed = list_partitions(spark, table)
+    drop_partitions(spark, table, [p for p in listed if p.commit % 2 == 0 and p.commit > 2 * version])
+    for chunk in _chunks([p for p in listed if p.commit % 2], 200):
+        _rewrite(spark, config, chunk, F.col("_batch_id") <= version)
 
 
 def backfill(spark: SparkSession, source: DataFrame, config: LogConfig) -> None:

@@ -331,18 +331,27 @@ def _(spark, sf):
     return R.session_steps(view(spark, sf, "user_events"), ["view", "click", "purchase"])
 
 
+# Written as a chain of joins: the first time of a step, then each later step joined to the one before.
 @query("uc1_funnel", """
-    , s AS (SELECT min(CASE WHEN event_type = 'view' THEN log_ts END) AS v,
-                   min(CASE WHEN event_type = 'click' THEN log_ts END) AS c,
-                   min(CASE WHEN event_type = 'purchase' THEN log_ts END) AS p
-            FROM user_events GROUP BY user_id, session_id)
-    SELECT 0 AS step_no, 'view' AS step, count(v) AS sessions FROM s
-    UNION ALL SELECT 1, 'click', count(*) FILTER (c >= v) FROM s
-    UNION ALL SELECT 2, 'purchase', count(*) FILTER (c >= v AND p >= c) FROM s""")
+    , first_view AS (SELECT user_id, session_id, min(log_ts) AS at FROM user_events WHERE event_type = 'view' GROUP BY ALL),
+    first_click AS (SELECT e.user_id, e.session_id, min(e.log_ts) AS at FROM user_events e JOIN first_view b
+                    ON e.user_id = b.user_id AND e.session_id = b.session_id AND e.log_ts >= b.at WHERE e.event_type = 'click' GROUP BY ALL),
+    first_purchase AS (SELECT e.user_id, e.session_id, min(e.log_ts) AS at FROM user_events e JOIN first_click b
+                       ON e.user_id = b.user_id AND e.session_id = b.session_id AND e.log_ts >= b.at WHERE e.event_type = 'purchase' GROUP BY ALL)
+    SELECT 0 AS step_no, 'view' AS step, count(*) AS sessions FROM first_view
+    UNION ALL SELECT 1, 'click', count(*) FROM first_click
+    UNION ALL SELECT 2, 'purchase', count(*) FROM first_purchase""")
 def _(spark, sf):
     return R.funnel(view(spark, sf, "user_events"), ["view", "click", "purchase"])
 
 
+@query("uc1_session_paths", """
+    SELECT user_id, session_id, string_agg(event_type, '>' ORDER BY log_ts, event_id) AS path, count(*) AS events
+    FROM user_events GROUP BY user_id, session_id""")
+def _(spark, sf):
+    return R.session_paths(view(spark, sf, "user_events"))
+
+
 @query("uc4_user_day_features", """
     SELECT user_id, event_date, count(*) AS events, count(DISTINCT session_id) AS sessions,
            CAST(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS BIGINT) AS purchases,

@@ -16,11 +16,11 @@ from logweir.functions.envelope import encode, with_ingestion_time
 from logweir.operators import tables
 from logweir.plans import log_types
 from logweir.plans.views import view
-from logweir.session import delete_paths, shared_dir, spread
+from logweir.session import delete_paths, shared_dir
 from logweir.sources.configs import LogConfig, collect_configs, load_configs
 from logweir.sources.topics import FileTopics
 from logweir.streaming.ingest import start_ingest
-from logweir.streaming.progress import progress
+from logweir.streaming.progress import ProgressLog, progress
 
 # Messages before this moment go into the first batch, the rest into the second.
 SPLIT = "2024-01-16 00:00:00"
@@ -89,6 +89,11 @@ def new_stage(spark: SparkSession, documents: list[dict]) -> Stage:
     return Stage(spark, root, {c.log_type: c for c in found}, FileTopics(f"{root}/topics"))
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Staged topics have several files, as topics have partitions: as many as the session shuffles into."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "event_id")
+
+
 def in_slice(rows: DataFrame, number: int) -> DataFrame:
     early = F.col("timestamp") < F.lit(SPLIT).cast("timestamp_ntz")
     return rows.where(early if number == 0 else ~early)
@@ -120,7 +125,7 @@ def shared_topic_messages(spark: SparkSession, sf_dir: str, configs: dict[str, L
     parts = []
     for log_type in ("user_events", "user_activity"):
         rows = view(spark, sf_dir, log_type)
-        rows = spread(rows if number is None else in_slice(rows, number), "event_id")
+        rows = dealt(rows if number is None else in_slice(rows, number))
         parts.append(damaged(rows, configs[log_type]))
     return reduce(DataFrame.unionAll, parts)
 
@@ -136,17 +141,18 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Stage:
             log_types.document("user_activity", iceberg={"enabled": True}),
         ],
     )
-    seen = []
+    log = ProgressLog(spark, f"{stage.root}/progress")
     for number in (0, 1):
         stage.topics.publish(shared_topic_messages(spark, sf_dir, stage.configs, number), "user-events")
         metrics = stage.configs["api_metrics"]
-        calls = spread(in_slice(view(spark, sf_dir, "api_metrics"), number), "event_id")
+        calls = dealt(in_slice(view(spark, sf_dir, "api_metrics"), number))
         stage.topics.publish(encode(calls, metrics), metrics.topic)
         run = start_ingest(spark, list(stage.configs.values()), stage.topics, stage.warehouse,
                            f"{stage.root}/checkpoints", trigger=NOW)
         run.finish()
-        seen.append(progress(spark, run.queries))
-    stage.progress = reduce(DataFrame.unionAll, seen)
+        log.wait_for(run.queries)
+    log.close()
+    stage.progress = progress(spark, f"{stage.root}/progress")
     return stage
 
 
@@ -186,7 +192,7 @@ def evolved(spark: SparkSession, sf_dir: str) -> Stage:
     v1 = stage.configs["demo_events"]
     v2 = dataclasses.replace(later, table=v1.table)
     for number, config in enumerate((v1, v2)):
-        rows = spread(in_slice(view(spark, sf_dir, "demo_events"), number), "event_id")
+        rows = dealt(in_slice(view(spark, sf_dir, "demo_events"), number))
         stage.topics.publish(encode(rows, config), config.topic)
         start_ingest(spark, [config], stage.topics, stage.warehouse, f"{stage.root}/checkpoints",
                      trigger=NOW).finish()
@@ -205,7 +211,7 @@ def new_table(spark: SparkSession, log_type: str, extra_fields: tuple[str, ...]
 
 def half_day_batches(spark: SparkSession, sf_dir: str, log_type: str) -> list[DataFrame]:
     """All rows as two batches that share every date: mornings, then afternoons."""
-    rows = with_ingestion_time(spread(view(spark, sf_dir, log_type), "event_id"))
+    rows = with_ingestion_time(dealt(view(spark, sf_dir, log_type)))
     morning = F.hour("timestamp") < 12
     return [rows.where(morning), rows.where(~morning)]
 

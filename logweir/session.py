@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import contextlib
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # What the library's plans rely on.  Partition counts are left to AQE: a cluster sets
 # spark.sql.shuffle.partitions high and AQE coalesces, a laptop sets it to its cores.
@@ -46,19 +47,6 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_root[app]
 
 
-def spread(rows: DataFrame, *by: str) -> DataFrame:
-    """Use more cores for costly work per row when a scan gives few splits, at most 8 per split.
-
-    Large inputs come in many splits and are left alone.  Give it scans only: counting splits
-    plans the rows, and would run shuffles among them.  ``by`` should tell rows apart.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    splits = rows.rdd.getNumPartitions()
-    if splits * 2 > cores:
-        return rows
-    return rows.repartition(min(cores, 8 * max(splits, 1)), *by)
-
-
 @contextlib.contextmanager
 def session_conf(spark: SparkSession, settings: dict[str, str]):
     """Run a block under other SQL settings, then put them back."""
@@ -86,6 +74,35 @@ def delete_paths(spark: SparkSession, paths: list[str]) -> None:
             fs.delete(make(path), True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, replaced whole: written beside and renamed."""
+    fs, make = _filesystem(spark, path), spark._jvm.org.apache.hadoop.fs.Path
+    part = make(f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(make(path), False)
+    fs.rename(part, make(path))
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None if there is no such file."""
+    if not path_exists(spark, path):
+        return None
+    stream = _filesystem(spark, path).open(_path(spark, path))
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    if not path_exists(spark, path):
+        return []
+    return sorted(f.getPath().getName() for f in _filesystem(spark, path).listStatus(_path(spark, path)))
+
+
 def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 

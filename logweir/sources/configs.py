@@ -47,15 +47,16 @@ class LogConfig:
 
     @property
     def key_field(self) -> str:
-        """Message key: the first field naming a user or a session, else the first field."""
+        """Message key: the first field naming a user or a session, else the first field; empty without fields."""
         named = [f.name for f in self.fields if "user_id" in f.name or "session_id" in f.name]
-        return (named or [self.fields[0].name])[0]
+        return next(iter([*named, *[f.name for f in self.fields]]), "")
 
 
 def load_configs(spark: SparkSession, path: str, on_error: str = "abort") -> DataFrame:
     """Every ``*.json`` of a folder, or one file.  ``.json.disabled`` and the like are not read.
 
-    ``on_error="abort"`` fails on the first unreadable file, ``"skip"`` leaves such files out.
+    ``on_error="abort"`` fails on the first unreadable file, ``"skip"`` leaves such files out;
+    ``unreadable_configs`` says which they are.
     """
     reader = spark.read.option("multiLine", True).option("pathGlobFilter", "*.json")
     if on_error == "abort":
@@ -66,6 +67,14 @@ def load_configs(spark: SparkSession, path: str, on_error: str = "abort") -> Dat
     return rows.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
 
 
+def unreadable_configs(spark: SparkSession, path: str) -> DataFrame:
+    """Files that ``on_error="skip"`` leaves out: file, content."""
+    texts = spark.read.text(path, wholetext=True, pathGlobFilter="*.json")
+    parsed = F.from_json("value", CONFIG_DDL + ", _corrupt_record string", {"mode": "PERMISSIVE"})
+    return (texts.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("content"), parsed.alias("config"))
+            .where("config._corrupt_record IS NOT NULL").drop("config"))
+
+
 def enabled_configs(configs: DataFrame) -> DataFrame:
     """Leave out configs whose ingest is switched off."""
     return configs.where(F.coalesce(F.col("iceberg.enabled"), F.lit(True)))
@@ -115,7 +124,7 @@ def collect_configs(configs: DataFrame, namespace: str | None = None) -> list[Lo
             sort_by=tuple(r.sort_by),
             retention_days=r.retention_days,
             fields=tuple(
-                Field(f["name"], f["type"], f["required"] is not False, f["default"]) for f in r.fields
+                Field(f["name"], f["type"], f["required"] is not False, f["default"]) for f in r.fields or []
             ),
         )
         for r in rows

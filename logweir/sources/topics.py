@@ -73,11 +73,14 @@ class KafkaTopics:
     """Topics on Kafka brokers.  Needs the spark-sql-kafka package on the classpath.
 
     ``min_partitions`` splits the partitions of a hot topic into more tasks.
+    ``fail_on_data_loss``: whether a stream stops when messages it has not read are gone from the topic;
+    without it the stream goes on, which suits topics of short retention.  Bounded reads always fail then.
     """
 
     servers: str
     max_offsets_per_trigger: int | None = 200_000_000
     min_partitions: int | None = None
+    fail_on_data_loss: bool = False
 
     def publish(self, messages: DataFrame, topic: str) -> None:
         """Keyed messages; the broker's partitioner places them by key.
@@ -103,7 +106,7 @@ class KafkaTopics:
             .option("kafka.bootstrap.servers", self.servers)
             .option("subscribe", topic)
             .option("startingOffsets", starting)
-            .option("failOnDataLoss", "false")
+            .option("failOnDataLoss", str(self.fail_on_data_loss).lower())
         )
         if self.max_offsets_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", self.max_offsets_per_trigger)
@@ -119,7 +122,7 @@ class KafkaTopics:
             .option("subscribe", topic)
             .option("startingOffsets", start)
             .option("endingOffsets", "latest")
-            .option("failOnDataLoss", "false")
+            .option("failOnDataLoss", "true")
         )
         return self._messages(reader.load())
 

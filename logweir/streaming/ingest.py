@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+from collections import Counter
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,7 +18,6 @@ from logweir.functions.envelope import (
     with_ingestion_time,
 )
 from logweir.operators import tables
-from logweir.session import spread
 from logweir.sources.configs import Field, LogConfig
 
 INGESTED = ("_ingestion_timestamp", "_ingestion_date")
@@ -68,6 +68,7 @@ def start_ingest(
     trigger: dict | None = None,
     codec: str = "snappy",
     cluster: bool = True,
+    repartition: int | None = None,
 ) -> IngestRun:
     """Start the streaming queries that fill the tables of ``configs``.
 
@@ -78,15 +79,27 @@ def start_ingest(
     ``on_invalid``: what becomes of messages that are not accepted: kept with a reason in the
     quarantine table, written to the type's table as NULLs, or left out.
     ``cluster=False`` writes without a shuffle, one file per task and table partition.
-    A type that cannot be set up is reported and does not stop the others.
+    ``repartition``: deal each micro-batch over so many tasks before it is parsed, always; for topics with
+    few, large partitions.  Without it a batch is parsed in the tasks it is read in.
+
+    A type that cannot be set up is reported with the reason.  It does not stop other topics, but no
+    query of its own topic starts that would move past its messages: with one query per topic the
+    whole topic waits, with one query per type only that type does.  Once the config is mended, the next
+    start takes all messages up where the checkpoint left them.  Checkpoints belong to one ``fan_out``:
+    the other way starts from ``starting`` again.
     """
     if on_invalid not in MODES:
         raise ValueError(f"on_invalid is one of {MODES}")
     trigger = trigger or {"processingTime": "10 seconds"}
     ready, failures = [], {}
     owner: dict[str, str] = {}
+    kinds = Counter((c.topic, c.log_type) for c in configs)
     for config in configs:
         try:
+            if not config.fields:
+                raise ValueError(f"{config.log_type} declares no fields")
+            if kinds[config.topic, config.log_type] > 1:
+                raise ValueError(f"{config.log_type} is declared more than once on topic {config.topic}")
             if config.table in owner:
                 raise ValueError(f"table {config.table} already belongs to {owner[config.table]}")
             effective, _ = tables.ensure_table(spark, config, warehouse, codec)
@@ -99,15 +112,20 @@ def start_ingest(
     by_topic: dict[str, list[LogConfig]] = {}
     for config in ready:
         by_topic.setdefault(config.topic, []).append(config)
+    held = {topic: sorted({c.log_type for c in configs if c.topic == topic and c.log_type in failures}) for topic in by_topic}
     queries = []
     for topic, members in by_topic.items():
+        if held[topic] and fan_out == "topic":
+            failures |= {c.log_type: f"topic {topic} waits for {', '.join(held[topic])}" for c in members if c.log_type not in failures}
+            continue
         groups = [members] if fan_out == "topic" else [[c] for c in members]
         for number, group in enumerate(groups):
             name = topic if fan_out == "topic" else group[0].log_type
             writer = _BatchWriter(
                 source=name,
                 configs=group,
-                others=tuple(c.log_type for c in members if c not in group),
+                others=(*[c.log_type for c in members if c not in group], *held[topic]),
+                repartition=repartition,
                 lead=number == 0,
                 on_invalid=on_invalid,
                 route=route,
@@ -147,29 +165,35 @@ class _BatchWriter:
     route: bool
     quarantine: LogConfig
     cluster: bool
+    repartition: int | None = None
 
     def __call__(self, batch: DataFrame, epoch: int) -> None:
-        batch = spread(batch, "partition", "offset", "value")
-        if not self.route:
-            for config in self.configs:
-                tables.append_batch(decode(batch, config, INGESTED), config, cluster=self.cluster)
-            return
-        classified = self._attributed(classify(batch, self.configs))
-        # Only rejects keep their text: the cached batch holds each message once.
-        text = F.when(F.col("_reason").isNotNull(), F.col("value"))
-        classified = classified.withColumn("value", text)
-        if len(self.configs) > 1 or self.on_invalid != "drop":
-            classified.persist(StorageLevel.MEMORY_AND_DISK)
+        if self.repartition:
+            batch = batch.repartition(self.repartition)
+        if self.route:
+            # Only rejects keep their text: the cached batch holds each message once.
+            text = F.when(F.col("_reason").isNotNull(), F.col("value"))
+            batch = self._attributed(classify(batch, self.configs)).withColumn("value", text)
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            for config in self.configs:
-                rows = records(classified, config, INGESTED)
-                if self.on_invalid == "null_row":
-                    rows = rows.unionByName(null_rows(classified, config, INGESTED))
-                tables.append_batch(rows, config, cluster=self.cluster)
-            if self.on_invalid == "quarantine":
-                tables.append_batch(self._rejects(classified), self.quarantine)
+            # The batch's number is its ingestion time, one for all rows; an empty batch has nothing to write.
+            head = batch.select(F.unix_millis("_ingestion_timestamp")).first()
+            if head is not None:
+                self._write(batch, head[0])
         finally:
-            classified.unpersist()
+            batch.unpersist()
+
+    def _write(self, batch: DataFrame, number: int) -> None:
+        for config in self.configs:
+            if not self.route:
+                rows = decode(batch, config, INGESTED)
+            else:
+                rows = records(batch, config, INGESTED)
+                if self.on_invalid == "null_row":
+                    rows = rows.unionByName(null_rows(batch, config, INGESTED))
+            tables.append_batch(rows, config, batch_id=number, cluster=self.cluster)
+        if self.route and self.on_invalid == "quarantine":
+            tables.append_batch(self._rejects(batch), self.quarantine, batch_id=number)
 
     def _attributed(self, classified: DataFrame) -> DataFrame:
         """Of a topic other queries read too, only this query's share of the messages.

@@ -1,17 +1,60 @@
-"""Progress of streaming queries as a DataFrame."""
+"""Progress of streaming queries as a table: every micro-batch, however many there were."""
 
 from __future__ import annotations
 
+import json
+import time
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQueryListener
+
+from logweir.session import path_exists, write_text
+
+_DDL = "query string, run string, batch_id long, at string, input_rows long, duration_ms long, end_offsets string"
+
+
+class ProgressLog(StreamingQueryListener):
+    """Writes one small JSON file per micro-batch of any query of the session to ``folder``.
+
+    A query keeps only its last progress reports itself; the log keeps all, across restarts too.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+        self.written: set[tuple[str, int]] = set()
+        spark.streams.addListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        row = {"query": p.name, "run": str(p.runId), "batch_id": p.batchId, "at": p.timestamp, "input_rows": p.numInputRows,
+               "duration_ms": p.durationMs.get("triggerExecution"), "end_offsets": json.dumps([s.endOffset for s in p.sources])}
+        write_text(self.spark, f"{self.folder}/{p.runId}-{p.batchId}.json", json.dumps(row))
+        self.written.add((str(p.runId), p.batchId))
+
+    def wait_for(self, queries, seconds: float = 30.0) -> None:
+        """Reports come a moment after their batch: wait until the last one of each query is written."""
+        last = {(str(q.runId), q.lastProgress["batchId"]) for q in queries if q.lastProgress}
+        until = time.time() + seconds
+        while not last <= self.written:
+            if time.time() > until:
+                raise TimeoutError(f"no progress report of {sorted(last - self.written)}")
+            time.sleep(0.05)
 
-_DDL = "query string, batch_id long, at string, input_rows long, duration_ms long"
+    def close(self) -> None:
+        self.spark.streams.removeListener(self)
 
 
-def progress(spark: SparkSession, queries) -> DataFrame:
-    """One row per recent micro-batch of each query: rows read and time taken."""
-    rows = [
-        (q.name, p["batchId"], p["timestamp"], p["numInputRows"], p["durationMs"].get("triggerExecution"))
-        for q in queries
-        for p in q.recentProgress
-    ]
-    return spark.createDataFrame(rows, _DDL)
+def progress(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per micro-batch in a log's folder: rows read, time taken, end offsets."""
+    if not path_exists(spark, folder):
+        return spark.createDataFrame([], _DDL)
+    return spark.read.schema(_DDL).json(folder)

@@ -5,7 +5,7 @@ import pytest
 from logweir.functions.types import FIELD_TYPES, ddl_type, record_schema, spark_type
 from logweir.operators.quality import shared_tables, validate_configs
 from logweir.plans import log_types
-from logweir.sources.configs import collect_configs, enabled_configs, load_configs, with_defaults
+from logweir.sources.configs import collect_configs, enabled_configs, load_configs, unreadable_configs, with_defaults
 from logweir.sources.topics import topic_plan, topic_types
 from pyspark.sql import functions as F
 
@@ -29,6 +29,7 @@ def test_unreadable_file_aborts_or_is_skipped(spark, tmp_path):
     with pytest.raises(Exception):
         load_configs(spark, str(tmp_path)).collect()
     assert [r.name for r in load_configs(spark, str(tmp_path), on_error="skip").collect()] == ["UserEvents"]
+    assert [r.file for r in unreadable_configs(spark, str(tmp_path)).collect()] == ["b.json"]
 
 
 def test_switched_off_types(spark, tmp_path):

@@ -10,7 +10,7 @@ from logweir.plans import staging as S
 from logweir.plans.views import view
 from logweir.sources.topics import FileTopics, KafkaTopics, end_offsets, peek, replay, topic_totals
 from logweir.streaming.ingest import quarantine_config, start_ingest
-from logweir.streaming.progress import progress
+from logweir.streaming.progress import ProgressLog, progress
 
 NOW = {"availableNow": True}
 
@@ -75,7 +75,7 @@ def test_every_message_is_in_a_table_or_quarantined(spark, pipe, sf, fan_out):
     assert sum(got.values()) == topic_totals(p.topics.read(spark, "user-events")).first().total_messages
 
 
-def test_restart_adds_nothing_and_goes_on(spark, pipe):
+def test_restart_adds_nothing_and_goes_on(spark, pipe, tmp_path):
     p = pipe("demo_events")
     c = p.configs["demo_events"]
     p.topics.publish(encode(demo_rows(spark, 5), c), c.topic)
@@ -83,9 +83,12 @@ def test_restart_adds_nothing_and_goes_on(spark, pipe):
     p.run()
     assert p.rows("demo_events").count() == 5
     p.topics.publish(encode(demo_rows(spark, 5, 5), c), c.topic)
+    log = ProgressLog(spark, f"{tmp_path}/progress")
     run = p.run()
+    log.wait_for(run.queries)
+    log.close()
     assert p.rows("demo_events").count() == 10
-    assert progress(spark, run.queries).agg(F.sum("input_rows")).first()[0] == 5
+    assert progress(spark, f"{tmp_path}/progress").agg(F.sum("input_rows")).first()[0] == 5
 
 
 def test_batch_that_failed_half_way_is_replayed_whole(spark, pipe, sf_dir, monkeypatch):
@@ -198,7 +201,48 @@ def test_a_table_belongs_to_one_type(spark, pipe):
     p = pipe("user_events", "user_activity")
     p.configs["user_activity"] = dataclasses.replace(p.configs["user_activity"], table=p.configs["user_events"].table)
     p.topics.publish(encode(demo_rows(spark, 1), p.configs["user_events"]), "user-events")
-    assert list(p.run().failures) == ["user_activity"]
+    failures = p.run().failures
+    assert "already belongs" in failures["user_activity"] and "waits for user_activity" in failures["user_events"]
+
+
+@pytest.mark.parametrize("fan_out, on_invalid", [("topic", "quarantine"), ("topic", "drop"), ("type", "quarantine"), ("type", "drop")])
+def test_messages_of_a_type_that_failed_are_kept_for_it(spark, pipe, sf_dir, fan_out, on_invalid):
+    p = pipe("user_events", "user_activity")
+    p.topics.publish(S.shared_topic_messages(spark, sf_dir, p.configs), "user-events")
+    right = p.configs["user_activity"]
+    for wrong in (dataclasses.replace(right, table="one.two.three"), dataclasses.replace(right, fields=())):
+        p.configs["user_activity"] = wrong
+        assert "user_activity" in p.run(fan_out=fan_out, on_invalid=on_invalid).failures
+    p.configs["user_activity"] = right
+    assert not p.run(fan_out=fan_out, on_invalid=on_invalid).failures
+    for log_type in ("user_events", "user_activity"):
+        assert p.rows(log_type).count() == EXPECTED["sf0.001"][log_type]
+    if on_invalid == "quarantine":
+        assert p.rejected().count() == 58
+
+
+def test_a_type_declared_twice_is_refused(spark, pipe):
+    p = pipe("user_events")
+    c = p.configs["user_events"]
+    p.topics.publish(encode(demo_rows(spark, 1), c), "user-events")
+    p.configs["again"] = dataclasses.replace(c, table=c.table + "_2")
+    assert "more than once" in p.run().failures["user_events"]
+
+
+def test_progress_is_complete_over_many_batches(spark, tmp_path):
+    for i in range(105):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / f"{i:03d}.txt").write_text("x\n")
+    log = ProgressLog(spark, f"{tmp_path}/progress")
+    stream = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(f"{tmp_path}/in")
+    query = (stream.writeStream.queryName("many").format("noop").option("checkpointLocation", f"{tmp_path}/checkpoint")
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    log.wait_for([query])
+    log.close()
+    assert len(query.recentProgress) <= 100
+    seen = progress(spark, f"{tmp_path}/progress")
+    assert seen.agg(F.sum("input_rows")).first()[0] == 105 and seen.select("batch_id").distinct().count() == 105
 
 
 def test_drop_and_null_row(spark, pipe, sf_dir):

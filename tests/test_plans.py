@@ -7,7 +7,6 @@ from logweir.functions import envelope as E
 from logweir.operators import reports as R
 from logweir.plans import all_queries
 from logweir.plans.views import view
-from logweir.session import spread
 
 
 def plan_of(df) -> str:
@@ -67,8 +66,3 @@ def test_percentile_ignores_nulls_and_handles_one_value(spark):
     rows = spark.createDataFrame([("a", 5), ("a", None), ("b", None), ("c", 1), ("c", 2)], "k string, v long")
     got = {r.k: r.p for r in R.percentile_by(rows, ["k"], "v", 0.5, "p").collect()}
     assert got == {"a": 5.0, "b": None, "c": 1.5}
-
-
-def test_spread_leaves_many_splits_alone(spark):
-    assert "Exchange" in plan_of(spread(spark.range(0, 100, 1, 1), "id"))
-    assert "Exchange" not in plan_of(spread(spark.range(0, 100, 1, 64), "id"))

@@ -76,15 +76,35 @@ def test_batches_are_numbered_by_ingestion_time(spark, demo):
 def test_partitions_merged_in_one_job_keep_their_own_commits(spark, demo):
     """Day 1 ends with batch 1, day 2 with batch 2; a replay of batch 2 may still write day 1."""
     day1, day2 = [rows(spark, 30).where(F.col("event_date") == F.date_add(F.lit(DAY0), i)) for i in (0, 1)]
-    for batch, part in ((0, day1), (1, day1), (0, day2), (2, day2)):
-        tables.append_batch(part, demo, batch) if batch else tables.append_batch(
-            part.withColumn("user_id", F.lit("first")), demo, batch)
+    for batch, part in ((0, day1.unionByName(day2)), (1, day1), (2, day2)):
+        tables.append_batch(part, demo, batch)
     assert tables.compact(spark, demo, include_latest=True) == 2
-    assert sorted(p.commit for p in tables.list_partitions(spark, demo.table)) == [3, 5]
-    tables.append_batch(day1.unionByName(day2), demo, 2)
+    assert [p.commit % 2 for p in tables.list_partitions(spark, demo.table)] == [1, 1]
+    tables.append_batch(day1.unionByName(day2), demo, 2)  # takes the place of batch 2, merged or not
     assert tables.read_table(spark, demo.table).count() == 50
 
 
+def test_late_batch_below_a_compaction_stays(spark, demo):
+    for batch in (10, 30, 40):
+        tables.append_batch(rows(spark, 10, batch), demo, batch)
+    assert tables.compact(spark, demo) > 0
+    tables.append_batch(rows(spark, 10, 20), demo, 20)
+    assert tables.read_table(spark, demo.table).count() == 40
+    assert tables.recover(spark, demo.table) == 0
+    tables.compact(spark, demo, include_latest=True)
+    assert tables.read_table(spark, demo.table).count() == 40
+    assert sorted(r[0] for r in tables.read_table(spark, demo.table).select("_batch_id").distinct().collect()) == [10, 20, 30, 40]
+
+
+def test_replay_with_fewer_partitions_replaces_all(spark, demo):
+    tables.append_batch(rows(spark, 30), demo, 1)
+    one_day = rows(spark, 30).where(F.col("event_date") == F.lit(DAY0))
+    tables.append_batch(one_day, demo, 1)
+    assert tables.read_table(spark, demo.table).count() == one_day.count() == 10
+    tables.append_batch(one_day.limit(0), demo, 1)
+    assert tables.read_table(spark, demo.table).count() == 0
+
+
 def test_unpartitioned_table(spark, config, database, tmp_path):
     c = config("demo_events", database, partition_by=())
     tables.ensure_table(spark, c, str(tmp_path))
@@ -104,7 +124,7 @@ def test_null_and_odd_partition_values(spark, config, database, tmp_path):
     assert tables.compact(spark, c, include_latest=True) == tables.read_table(spark, c.table).select(
         "event_type").distinct().count()
     assert tables.read_table(spark, c.table).count() == 18
-    assert {p.commit for p in tables.list_partitions(spark, c.table)} == {3}
+    assert len({p.commit for p in tables.list_partitions(spark, c.table)}) == 1
 
 
 # --- evolution --------------------------------------------------------------------------
@@ -192,7 +212,8 @@ def test_compaction_keeps_rows_and_leaves_the_newest_batch(spark, demo, tmp_path
     assert tables.compact(spark, demo) == 3
     assert sorted(tables.read_table(spark, demo.table).select("user_id", "_batch_id").collect()) == sorted(before)
     assert len(files_of(tmp_path, demo)) < n
-    assert {p.commit for p in tables.list_partitions(spark, demo.table)} == {3, 4}
+    commits = {p.commit for p in tables.list_partitions(spark, demo.table)}
+    assert len(commits) == 2 and 4 in commits
     assert tables.compact(spark, demo) == 0
     tables.append_batch(rows(spark, 30, 60), demo, 2)  # replay of the newest batch
     assert tables.read_table(spark, demo.table).count() == 90
@@ -222,6 +243,67 @@ def test_compaction_stopped_before_the_drop(spark, demo, monkeypatch):
     assert spark.table(demo.table).count() == 90
 
 
+def test_compaction_stopped_while_writing(spark, demo, monkeypatch):
+    three_batches(spark, demo)
+    write = tables.write_rows
+
+    def stop(rows, config, **how):
+        write(rows.where("user_id < 'user_2'"), config, **how)
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(tables, "write_rows", stop)
+    with pytest.raises(RuntimeError):
+        tables.compact(spark, demo, include_latest=True)
+    monkeypatch.undo()
+    assert tables.read_table(spark, demo.table).count() == 90
+    tables.append_batch(rows(spark, 30, 90), demo, 1_000)
+    tables.recover(spark, demo.table)
+    assert spark.table(demo.table).count() == 120
+    assert tables.merge_notes(spark, demo.table) == []
+
+
+def forget(spark, table):
+    """What a new process knows of a table: nothing.  The files stay."""
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_restart_keeps_schema_codec_and_drops(spark, demo, tmp_path, monkeypatch):
+    three_batches(spark, demo)
+    names = {f.name: f for f in demo.fields}
+    refused = dataclasses.replace(demo, fields=tuple(
+        dataclasses.replace(f, type="long") if f.name == "user_id" else f for f in demo.fields if f.name != "event_type"))
+    forget(spark, demo.table)
+    effective, diff = tables.ensure_table(spark, refused, str(tmp_path))
+    assert {(d["field"], d["action"]) for d in diff} == {("user_id", "keep_current"), ("event_type", "removed")}
+    assert {f.name: f.type for f in effective.fields}["user_id"] == names["user_id"].type
+    assert tables.read_table(spark, demo.table).select("user_id", "event_type").distinct().count() == 90
+
+    monkeypatch.setattr(tables, "delete_paths", lambda *_: (_ for _ in ()).throw(RuntimeError("driver lost")))
+    dropped = [p for p in tables.list_partitions(spark, demo.table) if p.commit == 0]
+    with pytest.raises(RuntimeError):
+        tables.drop_partitions(spark, demo.table, dropped)
+    monkeypatch.undo()
+    assert spark.table(demo.table).count() == 60
+    forget(spark, demo.table)
+    tables.ensure_table(spark, demo, str(tmp_path))
+    assert tables.read_table(spark, demo.table).count() == 60
+
+
+def test_widening_keeps_codec_and_layout(spark, config, database, tmp_path):
+    c = config("demo_events", database)
+    fields = (*c.fields, Field("n", "int", required=False))
+    c = dataclasses.replace(c, fields=fields)
+    tables.ensure_table(spark, c, str(tmp_path), codec="zstd")
+    tables.append_batch(rows(spark, 10).withColumn("n", F.lit(1)), c, 0)
+    wider = dataclasses.replace(c, fields=(*c.fields[:-1], Field("n", "long", required=False)), partition_by=("event_type",))
+    effective, diff = tables.ensure_table(spark, wider, str(tmp_path))
+    assert {(d["field"], d["action"]) for d in diff} == {("n", "widen"), ("partition_by", "keep_current")}
+    assert effective.partition_by == c.partition_by
+    tables.append_batch(rows(spark, 10, 10).withColumn("n", F.lit(1 << 40)), effective, 1)
+    assert all("zstd" in f.name for f in files_of(tmp_path, c))
+    assert tables.read_table(spark, c.table).agg(F.sum("n")).first()[0] == 10 + 10 * (1 << 40)
+
+
 def test_versions_and_rollback(spark, demo):
     three_batches(spark, demo)
     tables.compact(spark, demo)
