@@ -52,14 +52,16 @@ def as_of(spark: SparkSession, table: str, version: int | None = None,
           timestamp: dt.datetime | None = None) -> DataFrame:
     """The table as it stood after a batch, or at a moment.
 
-    By version, later batches are pruned as partitions; a compaction may hold earlier rows, so
-    its partitions stay in and their rows are filtered.
+    Later batches are pruned as partitions, by number or, as a batch is numbered by its ingestion time,
+    by moment; a compaction may hold earlier rows, so its partitions stay in and their rows are filtered.
     """
     rows = read_table(spark, table)
     if version is not None:
         rows = rows.where((F.col(COMMIT) <= 2 * version + 1) | (F.col(COMMIT) % 2 == 1))
         rows = rows.where(F.col("_batch_id") <= version)
     if timestamp is not None:
+        latest = F.unix_millis(F.lit(timestamp).cast("timestamp")) * 2 + 1
+        rows = rows.where((F.col(COMMIT) <= latest) | (F.col(COMMIT) % 2 == 1))
         rows = rows.where(F.col("_ingestion_timestamp") <= F.lit(timestamp))
     return rows
 
