@@ -9,8 +9,10 @@ import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from logweir.session import delete_paths, shared_dir
@@ -80,10 +82,23 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode().split() if text else []
 
 
-def slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """Small slices of an Arrow batch, so that only a few texts are Python objects at a time."""
-    for start in range(0, batch.num_rows, rows):
-        yield batch.slice(start, rows)
+def slices(batch: pa.RecordBatch, rows: int = 256, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of an Arrow batch with at most so many rows and, beyond one row, bytes of text.
+
+    Only the texts of one slice are Python objects at a time, so very long texts do not add up.
+    """
+    lengths = np.zeros(batch.num_rows, np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type) or pa.types.is_large_string(column.type):
+            lengths += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(lengths)
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        fits = int(np.searchsorted(ends, before + size, "right"))
+        stop = min(batch.num_rows, start + rows, max(fits, start + 1))
+        yield batch.slice(start, stop - start)
+        start = stop
 
 
 def packed(df: DataFrame) -> DataFrame:
