@@ -11,9 +11,11 @@ draws.  32 bands of 4 coordinates miss a pair at 0.75 with probability 5e-6, one
 1. Texts with the same words are one class (128-bit key); the class is known by its smallest doc_id.
 2. Classes in the same bucket of a band are compared to the bucket's smallest class only, never all
    with all.  Links are confirmed on the full shingle sets of the whole texts.
-3. Components of confirmed links are formed.  Buckets whose classes are all in one component are done;
-   in the others the pairs between different components are verified as well.  So every pair that shares
-   a bucket is either verified or already in one component, and no link between buckets' members is lost.
+3. Components of confirmed links are formed.  Buckets whose classes are all in one component are done.
+   Classes that meet in the others form groups, which are dealt into blocks of bounded size; for each pair
+   of blocks the shingles in common of all pairs are counted at once, and links between components are
+   confirmed on the words.  So every pair that shares a bucket is either compared or already in one
+   component: no link between components is lost, and no pairs are emitted.
 
 Defined cases: null, empty or white-space texts have an empty set (0 shingles) and are linked with
 nothing; rows that share a doc_id are one node (a link of one is a link of all); rows with a null
@@ -28,10 +30,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from xxhash import xxh3_64_intdigest
 
-from logweir.llm.common import cut, slices, words_of
+from logweir.llm.common import cut, packed, slices, unpacked, words_of
 from logweir.llm.components import components
 
 SHINGLE = 5
@@ -39,6 +41,9 @@ COORDINATES = 128
 BANDS = 32
 ROWS = COORDINATES // BANDS
 SIMILAR = 75  # per cent
+BLOCK = 1_024  # classes of a group in one block
+BLOCK_BYTES = 8 << 20  # and bytes of their texts
+OFTEN = 48  # shingles held by more classes of a unit are counted by matrix product
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -153,6 +158,81 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(_verify_batches, "a long, b long, linked boolean").filter("linked").select("a", "b").distinct()
 
 
+def _between(open_: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) that join components within the groups that buckets form: enough of them, not all.
+
+    ``open_`` has (leader, rep, component) of the buckets that hold several components.  Classes that may meet are
+    in one group.  A group is dealt into blocks of bounded size, and each pair of blocks is one unit of
+    work, which counts the common shingles of all its pairs at once and gives only links between components.
+    """
+    groups = components(open_.select(F.col("leader").alias("a"), F.col("rep").alias("b")))
+    grouped = (open_.select("rep", "component").distinct().join(groups.select(F.col("node").alias("rep"), F.col("component").alias("grp")), "rep")
+               .join(texts.withColumnRenamed("doc_id", "rep"), "rep"))
+    sizes = grouped.groupBy("grp").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(F.octet_length("text")) / BLOCK_BYTES)).cast("int").alias("blocks"))
+    dealt = (grouped.join(sizes, "grp").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+    units = dealt.select("grp", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "rep", "component", "text")
+    return units.groupBy("grp", "lo", "hi").applyInArrow(_joined_in_unit, "a long, b long").distinct()
+
+
+def common_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Shingles in common of all pairs: shingles that many have by matrix product, others pair by pair."""
+    m = len(sets)
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(m), [len(x) for x in sets])
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    first = np.concatenate(([True], flat[1:] != flat[:-1]))
+    shingle = np.cumsum(first) - 1
+    holders = np.bincount(shingle)[shingle]
+    counts = np.zeros((m, m), np.float32)
+    often = holders > OFTEN
+    _, column = np.unique(shingle[often], return_inverse=True)
+    for start in range(0, int(column.max()) + 1 if len(column) else 0, 2048):
+        here = (column >= start) & (column < start + 2048)
+        x = np.zeros((m, 2048), np.float32)
+        x[owner[often][here], column[here] - start] = 1
+        counts += x @ x.T
+    seldom = (holders > 1) & ~often
+    shingle, owner = shingle[seldom], owner[seldom]
+    for step in range(1, OFTEN):
+        same = shingle[step:] == shingle[:-step]
+        if not same.any():
+            break
+        a, b = owner[:-step][same], owner[step:][same]  # holders of a shingle are in order, so a < b
+        both = np.bincount(a * m + b, minlength=m * m).reshape(m, m).astype(np.float32)
+        counts += both + both.T
+    return counts
+
+
+def _joined_in_unit(unit: pa.Table) -> pa.Table:
+    reps, labels, texts = (unit.column(c).to_pylist() for c in ("rep", "component", "text"))
+    full = sorted(zip(reps, labels, texts), key=lambda r: r[0])
+    sets = [shingle_hashes([w.lower() for w in words_of(t)]) for _, _, t in full]
+    found: list[tuple[int, int]] = []
+    if len(full) > 1:
+        counts = common_counts(sets)
+        sizes = np.array([len(x) for x in sets], np.float32)
+        label = np.unique([r[1] for r in full], return_inverse=True)[1]
+        near = 100 * counts >= SIMILAR * (sizes[:, None] + sizes[None, :] - counts)
+        near &= (label[:, None] != label[None, :]) & (counts > 0)
+        root = list(range(int(label.max()) + 1))
+
+        def top(x: int) -> int:
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(near, 1)))):
+            a, b = top(int(label[i])), top(int(label[j]))
+            if a != b:
+                one, two = shingle_set(full[i][2]), shingle_set(full[j][2])  # hashes agree; the words decide
+                common = len(one & two)
+                if 100 * common >= SIMILAR * (len(one) + len(two) - common):
+                    root[a] = b
+                    found.append((full[i][0], full[j][0]))
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+
 def classify(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Per row: doc_id, text_key, n_shingles, component_id, kept; and the confirmed links between classes (a, b)."""
     slim = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
@@ -174,13 +254,8 @@ def classify(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
               .withColumn("component", F.coalesce("component", "rep")))
     mixed = (placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
              .filter("lo < hi").select("bucket"))
-    open_ = cut(placed.join(mixed, "bucket", "left_semi").select("bucket", "rep", "n", "leader", "component"))
-    one, two = open_.alias("x"), open_.alias("y")
-    apart = ((F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.rep") < F.col("y.rep"))
-             & (F.col("x.component") != F.col("y.component")) & _fits("x.n", "y.n")
-             & (F.col("x.leader") != F.col("x.rep")))  # pairs with the leader have been compared
-    between = one.join(two, apart).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    more = cut(_verified(between, texts))
+    open_ = cut(placed.join(mixed, "bucket", "left_semi").select("leader", "rep", "component").distinct())
+    more = cut(_between(open_, texts))
     if not more.isEmpty():
         # Components found so far are shrunk to one node each, so only the new links are worked on.
         shrunk = (more.join(found.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
@@ -203,11 +278,12 @@ def classify(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """One document of each component, with the columns of ``docs``; of rows equal in id and text one stays."""
-    kept = classify(docs)[0].filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    keyed = docs.withColumn("_text_key", F.xxhash64("text"))
-    stay = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left_semi")
-    twin = Window.partitionBy("doc_id", "_text_key").orderBy(*[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")] or [F.lit(1)])
-    return stay.withColumn("_twin", F.row_number().over(twin)).filter("_twin = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = classify(docs)[0].filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key")).distinct()
+    keyed = packed(docs).withColumn("doc_id", F.col("row.doc_id").cast("long")).withColumn("text_key", F.xxhash64("body"))
+    stay = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_key") == F.col("kept_key")), "left_semi")
+    plain = [F.col("row").getField(f.name) for f in docs.schema if f.name != "text" and isinstance(f.dataType, T.AtomicType)]
+    twin = Window.partitionBy("doc_id", "text_key").orderBy(*plain)
+    return unpacked(stay.withColumn("twin", F.row_number().over(twin)).filter("twin = 1"), docs)
 
 
 ORACLE = """
