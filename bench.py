@@ -72,7 +72,7 @@ def main() -> None:
     ingest = time.time() - start
     messages = sum(r.input_rows for r in stage.progress.collect())
 
-    times = {}
+    times = {"first_ingest": round(ingest, 3)}  # rows -> messages -> topics -> streams -> tables, once
     for name in HEADLINE:
         times[name] = round(min(timed(lambda: registered[name](spark, sf_dir)) for _ in range(2)), 3)
 
@@ -91,7 +91,7 @@ def main() -> None:
         "decode_messages_per_sec": round(shared.count() / decode),
     }
     print(json.dumps({
-        "metric": "headline queries, better of two runs, summed",
+        "metric": "first ingest, and headline queries (better of two runs), summed",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
