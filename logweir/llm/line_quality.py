@@ -157,7 +157,9 @@ def judge(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHAR
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The documents that pass, with the columns of ``docs``."""
-    passed = judge(docs).filter("kept").select(*[F.col(c).alias(f"p_{c}") for c in KEY]).distinct()
+    # Verdicts are written first: a filter on them would be pushed down and take the array expressions apart,
+    # each evaluated anew inside the other.
+    passed = cut(judge(docs).select(*KEY, "kept")).filter("kept").select(*[F.col(c).alias(f"p_{c}") for c in KEY]).distinct()
     rows = packed(docs)
     keyed = rows.select("row", "body", *_identity("row.doc_id", "row.source", "body"))
     same = [F.col(c).eqNullSafe(F.col(f"p_{c}")) for c in KEY]
