@@ -52,12 +52,13 @@ def test_boilerplate_lines_deplete_documents_but_copies_do_not(frame):
 
 
 def test_quality_edge_cases(frame):
-    rows = [(None, prose(1)), (None, prose(2)), (5, prose(3), None), (5, prose(3), None), (5, "other"), (6, None), (7, "")]
+    rows = [(None, prose(1)), (None, prose(2)), (5, prose(3), None), (5, prose(3), None), (5, "other"), (6, None), (7, ""),
+            (8, prose(8, 20_000)), (9, prose(9, 900))]
     df = frame(rows, CLASHES)
     assert sorted((str(r.doc_id), r.kept) for r in line_quality.judge(df).collect()) == [
-        ("5", False), ("5", True), ("5", True), ("6", False), ("7", False), ("None", True), ("None", True)]
+        ("5", False), ("5", True), ("5", True), ("6", False), ("7", False), ("8", False), ("9", True), ("None", True), ("None", True)]
     kept = line_quality.kept_documents(df)
-    assert kept.columns == df.columns and kept.count() == 4
+    assert kept.columns == df.columns and kept.count() == 5
     assert kept.first()["row"] == "clash row"
     assert line_quality.judge(frame([])).count() == 0
 
