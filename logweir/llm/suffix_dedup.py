@@ -149,13 +149,19 @@ def _first_of(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
+def _distinct(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Suffixes (own, around, doc, at) in order, each once: rows equal in id and text bring the same ones, which repeat nothing."""
+    order = np.lexsort(columns[::-1])
+    columns = [c[order] for c in columns]
+    new = _first_of(*columns)
+    return columns if new.all() else [c[new] for c in columns]
+
+
 def _fingerprints(splitters: np.ndarray, buckets: int):
     """Suffixes of each text, combined per task: the first of equal tokens is dealt out, the others are repeats."""
 
     def flush(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        own, around, doc, at = [np.concatenate(c) for c in zip(*rows)]
-        order = np.lexsort((at, doc, around, own))
-        own, around, doc, at = own[order], around[order], doc[order], at[order]
+        own, around, doc, at = _distinct([np.concatenate(c) for c in zip(*rows)])
         first = _first_of(own, around)
         tokens = np.empty(int(first.sum()), [("own", np.uint64), ("around", np.uint64)])
         tokens["own"], tokens["around"] = own[first], around[first]
@@ -204,10 +210,8 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             (rows if kind == FRESH else repeats).append(_unpack(blob, 4 if kind == FRESH else 2))
     found = [(doc, at, np.full(len(doc), REPEATED)) for doc, at in repeats]
     if rows:
-        own, around, doc, at = [np.concatenate(c) for c in zip(*rows)]
+        own, around, doc, at = _distinct([np.concatenate(c) for c in zip(*rows)])
         rows.clear()
-        order = np.lexsort((at, doc, around, own))
-        own, around, doc, at = own[order], around[order], doc[order], at[order]
         first = _first_of(own, around)
         found.append((doc[~first], at[~first], np.full(int((~first).sum()), REPEATED)))
         own, doc, at = own[first], doc[first], at[first]

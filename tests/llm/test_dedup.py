@@ -221,6 +221,22 @@ def test_suffix_edge_cases(frame):
     assert suffix_dedup.removals(frame([])).count() == 0
 
 
+def test_equal_rows_are_one_document(frame):
+    """Rows equal in id and text, with no other document before them, lose nothing; what they share with others is cut from each."""
+    rng = random.Random(11)
+
+    def text(n):
+        return "".join(rng.choice("abcdefghij ") for _ in range(n))
+
+    shared = text(300)
+    rows = [(5, text(3_000) + shared), (6, text(500) + shared + text(500)), (7, text(150)), (None, text(4_000))]
+    want = brute_removals([(9 if i is None else i, t) for i, t in rows])
+    want[None] = want.pop(9)
+    assert [want[i][1] for i in (5, 6, 7, None)] == [0, 300, 0, 0]
+    out = suffix_dedup.removals(frame(rows * 4)).collect()
+    assert len(out) == 16 and all((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id] for r in out)
+
+
 def test_multikey_order_sorts_like_tuples():
     rng = np.random.default_rng(2)
     columns = [rng.integers(0, 3, 500).astype(np.uint64) for _ in range(5)]
