@@ -139,6 +139,24 @@ def test_recall_on_directions_without_structure(spark, monkeypatch):
     assert np.mean([len({i for _, i, _ in got[q]} & set(want[q])) / 20 for q in want]) >= 0.9
 
 
+@pytest.mark.parametrize("spread", [0.3, 1.0])
+def test_recall_on_uneven_lengths(spread):
+    """One block as it stands in a table: long vectors at a moderate angle are among the best by inner product."""
+    rng = np.random.default_rng(8)
+    rows = rng.normal(size=(8_192, 64))
+    rows *= np.exp(spread * rng.normal(size=(8_192, 1))) / np.linalg.norm(rows, axis=1, keepdims=True)
+    ids, heads = np.arange(8_192), rows[:neighbours.PIVOTS] / np.linalg.norm(rows[:neighbours.PIVOTS], axis=1, keepdims=True)
+    asked = ids[::80]
+    got = neighbours.search_block(ids, rows, asked, rows[asked], heads, 20, neighbours.RERANK, neighbours.PREFIX)
+    shares = []
+    for query_id, found_ids in zip(asked, got[1]):
+        scores = rows @ rows[query_id]
+        scores[query_id] = -np.inf
+        shares.append(len(set(np.argsort(-scores)[:20].tolist()) & set(found_ids.tolist())) / 20)
+    print("recall", spread, np.mean(shares))
+    assert np.mean(shares) >= 0.95
+
+
 def test_search_edge_cases(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.5, 0.5]), (20, [0.0, -2.0]), (4, None), (5, [0.0, 0.0]), (6, [nan, 1.0]),
