@@ -4,8 +4,8 @@ Base rules look at one text: too few words, or too many words inside 8-word wind
 repeats.  The method proper looks across documents: every line is normalised (a-z lower case, white
 space collapsed, digits as 0) and hashed; the documents of each host (``source``) that hold it are
 counted; a line is boilerplate on a host when at least ``min_docs`` documents and at least
-``min_share`` of the host's documents hold it.  Such lines are removed, and a document is rejected
-when less than ``min_left`` of its words remain.
+``min_share`` of the host's documents hold it.  A document is rejected when less than ``min_left`` of its
+words remain without such lines; ``kept_documents`` gives the texts of the others without them.
 
 Copies must not turn honest text into boilerplate, so what counts is how different the documents around
 a line are: each document gives the line a sign, the smallest MD5 among its other lines, and distinct
@@ -109,13 +109,15 @@ def normalised(line: Column) -> Column:
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """One row per line with a word: the document's key, sign (of the document around the line), pos, line (hash), n_words."""
-    listed = docs.select(*_identity(), F.filter(F.transform(F.split("text", "\n"), normalised), lambda x: x != "").alias("_lines"))
-    hashed = listed.select(*KEY, F.transform("_lines", lambda x: F.struct(F.md5(x.cast("binary")).alias("h"), word_count(x).alias("n"))).alias("_lines"))
+    """One row per line with a word: the document's key, sign (of the document around the line), pos (among all its lines), line (hash), n_words."""
+    placed = F.transform(F.split("text", "\n"), lambda x, i: F.struct(normalised(x).alias("x"), i.alias("pos")))
+    listed = docs.select(*_identity(), F.filter(placed, lambda line: line["x"] != "").alias("_lines"))
+    hashed = listed.select(*KEY, F.transform("_lines", lambda line: F.struct(
+        F.md5(line["x"].cast("binary")).alias("h"), word_count(line["x"]).alias("n"), line["pos"].alias("pos"))).alias("_lines"))
     least = hashed.withColumn("_least", F.slice(F.array_sort(F.array_distinct(F.transform("_lines", lambda x: x["h"]))), 1, 2))
-    each = least.select(*KEY, "_least", F.posexplode("_lines").alias("pos", "_line"))
+    each = least.select(*KEY, "_least", F.explode("_lines").alias("_line"))
     around = F.when(F.get("_least", F.lit(0)) == F.col("_line.h"), F.get("_least", F.lit(1))).otherwise(F.get("_least", F.lit(0)))
-    return each.select(*KEY, F.xxhash64(F.coalesce(around, F.lit(""))).alias("sign"), "pos", F.xxhash64("_line.h").alias("line"),
+    return each.select(*KEY, F.xxhash64(F.coalesce(around, F.lit(""))).alias("sign"), F.col("_line.pos").alias("pos"), F.xxhash64("_line.h").alias("line"),
                        F.col("_line.n").alias("n_words"))
 
 
@@ -130,7 +132,7 @@ def boilerplate(per_line: DataFrame, min_docs: int = MIN_DOCS, min_share: float
 
 
 def removable(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
-    """Words in boilerplate lines, for each document that has some: the document's key, n_removed.
+    """Boilerplate lines of each document that has some: the document's key, n_removed (their words), gone (their places).
 
     Rows repeated in the whole key have their lines added up together: each line's position then comes
     as often as the row does, and the sum is divided by that.
@@ -140,31 +142,46 @@ def removable(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_
     limits = limits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
     salted = per_line.select(*KEY, "pos", "line", "n_words",
                              F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(SALT)).cast("int").alias("salt"))
-    once = F.size(F.collect_set("pos")) / F.count("*")
+    places = F.collect_set("pos")
+    once = F.size(places) / F.count("*")
     return (salted.join(limits, ["host", "line", "salt"]).groupBy(*KEY)
-            .agg(F.round(F.sum("n_words") * once).cast("long").alias("n_removed")))
+            .agg(F.round(F.sum("n_words") * once).cast("long").alias("n_removed"), F.sort_array(places).alias("gone")))
 
 
-def judge(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE, min_left: float = MIN_LEFT) -> DataFrame:
-    """The base counts, n_boilerplate_words (what line removal takes away) and the verdict ``kept``, per row."""
+def _judged(docs: DataFrame, min_docs: int, min_share: float, min_left: float) -> DataFrame:
+    """As ``judge``, with ``gone``, the places of the lines to remove (null if there are none)."""
     measured, gone = base(docs), removable(docs, min_docs, min_share)
     same = [F.col(f"m.{c}").eqNullSafe(F.col(f"g.{c}")) for c in KEY]
     joined = (measured.alias("m").join(gone.alias("g"), same, "left")
-              .select("m.*", F.coalesce("g.n_removed", F.lit(0)).cast("long").alias("n_boilerplate_words")))
+              .select("m.*", F.coalesce("g.n_removed", F.lit(0)).cast("long").alias("n_boilerplate_words"), "g.gone"))
     depleted = (F.col("n_words") - F.col("n_boilerplate_words")) < min_left * F.col("n_words")
     return joined.withColumn("kept", ~F.col("base_failed") & ~depleted)
 
 
+def judge(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE, min_left: float = MIN_LEFT) -> DataFrame:
+    """The base counts, n_boilerplate_words (what line removal takes away) and the verdict ``kept``, per row."""
+    return _judged(docs, min_docs, min_share, min_left).drop("gone")
+
+
+def _without(lines: Column, gone: Column) -> Column:
+    """The lines at the other places, as one text again."""
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+    return F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+
+
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with the columns of ``docs``."""
+    """The documents that pass, without their boilerplate lines, with the columns of ``docs``; ``n_chars`` follows."""
     # Verdicts are written first: a filter on them would be pushed down and take the array expressions apart,
     # each evaluated anew inside the other.
-    passed = cut(judge(docs).select(*KEY, "kept")).filter("kept").select(*[F.col(c).alias(f"p_{c}") for c in KEY]).distinct()
+    verdicts = cut(_judged(docs, MIN_DOCS, MIN_SHARE, MIN_LEFT).select(*KEY, "kept", "gone"))
+    passed = verdicts.filter("kept").select(*[F.col(c).alias(f"p_{c}") for c in KEY], "gone").distinct()
     rows = packed(docs)
     keyed = rows.select("row", "body", *_identity("row.doc_id", "row.source", "body"))
     same = [F.col(c).eqNullSafe(F.col(f"p_{c}")) for c in KEY]
-    kept = keyed.join(passed, same, "left_semi").select("row", "body")
-    return unpacked(kept, docs)
+    # The lines are mentioned twice behind this, so they stay a column of their own and are not split anew for each.
+    parted = keyed.join(passed, same).select("row", "body", "gone", F.when(F.col("gone").isNotNull(), F.split("body", "\n")).alias("_lines"))
+    body = F.when(F.col("gone").isNull(), F.col("body")).otherwise(_without(F.col("_lines"), F.col("gone")))
+    return unpacked(parted.select("row", body.alias("body")), docs, text_changed=True)
 
 
 ORACLE = f"""

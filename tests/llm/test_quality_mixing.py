@@ -70,6 +70,19 @@ def test_repeated_rows_do_not_count_lines_twice(frame):
     assert {r.n_boilerplate_words for r in got} == {len(notice.split())}
 
 
+def test_kept_documents_lose_their_boilerplate_lines(frame):
+    notice = "Subscribe to our daily letter\tand never miss a story again, volume {}"
+    bodies = {i: prose(i, 70) for i in range(20)}
+    rows = [(i, f"\n{notice.format(i % 10)}\n\n{bodies[i]}\n  {notice.format(7)} \r\nend {bodies[i][:30]}\n", "a") for i in range(20)]
+    rows += rows[:2] + [(50, f"{prose(50, 30)}\n{notice.format(1)}", "b")]  # rows that come again; not often on this host
+    df = frame(rows, CLASHES)
+    kept = line_quality.kept_documents(df)
+    assert kept.columns == df.columns
+    got = sorted((r.doc_id, r.text, r.n_chars) for r in kept.collect())
+    want = [(i, f"\n\n{bodies[i]}\nend {bodies[i][:30]}\n") for i in [*range(20), 0, 1]] + [(50, rows[-1][1])]
+    assert got == sorted((i, text, len(text)) for i, text in want)
+
+
 @pytest.mark.parametrize("name", ["op5_line_quality", "op8_mixing"])
 def test_sql_gives_the_same(spark, sf_dir, name):
     assert difference(oracle(sf_dir), QUERIES[name](spark, sf_dir), ORACLES[name]) is None
