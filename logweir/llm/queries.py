@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from logweir.llm import bpe, html_text, language, license_scan, line_quality, mixing, near_dup, neighbours, suffix_dedup, toxicity
+from logweir.llm import (bpe, collocations, html_text, language, license_scan, line_quality, mixing, near_dup, neighbours, secret_scan,
+                         suffix_dedup, token_align, toxicity)
 from logweir.llm.common import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +82,21 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.learn(docs))
 
 
+@query("op11_token_align")
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query("op12_secret_scan")
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op13_collocations", collocations.ORACLE)
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
