@@ -285,27 +285,32 @@ def collocations(docs: DataFrame, least: int = 30, top: int = 2_000, share: int
 
 
 ORACLE = """
-WITH pieces AS (
-  SELECT coalesce(lang, 'und') AS lang,
-         unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
-  FROM documents WHERE text IS NOT NULL),
-words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+WITH words AS MATERIALIZED (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents WHERE text IS NOT NULL)),
 totals AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
-grams AS (
-  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
-  FROM words, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k),
-f AS (SELECT lang, k, phrase, count(*) AS a, string_split(phrase, ' ') AS w FROM grams GROUP BY lang, k, phrase HAVING count(*) >= 30),
+placed AS MATERIALIZED (
+  SELECT lang, r, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM (SELECT lang, w, row_number() OVER () AS r FROM words)),
+rows_ AS (
+  SELECT lang, x AS x1, lead(x, 1) OVER s AS x2, lead(x, 2) OVER s AS x3, lead(x, 3) OVER s AS x4 FROM placed WINDOW s AS (PARTITION BY r ORDER BY i)),
+f AS MATERIALIZED (
+  SELECT lang, x1 AS phrase, 1 AS k, count(*) AS a FROM rows_ GROUP BY ALL HAVING count(*) >= 30 UNION ALL
+  SELECT lang, concat_ws(' ', x1, x2), 2, count(*) FROM rows_ WHERE x2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30 UNION ALL
+  SELECT lang, concat_ws(' ', x1, x2, x3), 3, count(*) FROM rows_ WHERE x3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30 UNION ALL
+  SELECT lang, concat_ws(' ', x1, x2, x3, x4), 4, count(*) FROM rows_ WHERE x4 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30),
+halves AS MATERIALIZED (
+  SELECT lang, phrase, a, j, array_to_string(w[1:j], ' ') AS p, array_to_string(w[j + 1:], ' ') AS q
+  FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS j FROM f WHERE k > 1)),
 cuts AS (
-  SELECT c.lang, c.k, c.phrase, c.a, j, x.a AS l, y.a AS r, (2000000::HUGEINT * c.a) // (x.a + y.a) AS score
-  FROM f c, (SELECT unnest([1, 2, 3]) AS j)
-  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:j], ' ')
-  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[j + 1:], ' ')
-  WHERE j < c.k),
+  SELECT h.lang, h.phrase, h.a, j, x.a AS l, y.a AS r, (2000000::HUGEINT * h.a) // (x.a + y.a) AS score
+  FROM halves h JOIN f x ON x.lang = h.lang AND x.phrase = h.p JOIN f y ON y.lang = h.lang AND y.phrase = h.q),
 lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
 inside AS (
-  SELECT c.lang, array_to_string(c.w[i:i + s - 1], ' ') AS phrase, max(c.a) AS longer
-  FROM f c, (SELECT unnest([2, 3]) AS s), (SELECT unnest([1, 2, 3]) AS i)
-  WHERE s < c.k AND i + s - 1 <= c.k GROUP BY 1, 2),
+  SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, k - s + 2)) AS i FROM (SELECT lang, a, k, string_split(phrase, ' ') AS w, unnest(range(2, k)) AS s FROM f WHERE k > 2))
+  GROUP BY 1, 2),
 ranked AS (
   SELECT o.lang, row_number() OVER (PARTITION BY o.lang ORDER BY score DESC, a DESC, o.phrase) AS rank, o.phrase, a, l, r, score
   FROM lowest o LEFT JOIN inside i ON i.lang = o.lang AND i.phrase = o.phrase
