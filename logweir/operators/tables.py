@@ -8,8 +8,9 @@ batch written again first drops what its earlier attempt left, so a replay adds
 
 Which rows a compaction replaces is never told from numbers: each job notes the partitions it merges in a
 small file under ``_notes`` before it writes and once more when it has written.  What a note of an
-unfinished job names is not shown twice, and the next run drops exactly that.  Drops are noted too, so
-files whose deletion was interrupted do not come back.  ``_notes/table.json`` keeps the schema, layout and
+unfinished job names is not shown twice, and the next run drops exactly that.  Each compaction also keeps
+a record of the batches it holds; a batch written again is first taken out of those that hold it.  Drops are
+noted too, so files whose deletion was interrupted do not come back.  ``_notes/table.json`` keeps the schema, layout and
 codec, from which a new session takes the table back.
 """
 
@@ -20,6 +21,7 @@ import datetime as dt
 import json
 import time
 import uuid
+from collections.abc import Callable
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -353,17 +355,14 @@ def append_batch(df: DataFrame, config: LogConfig, batch_id: int | None = None,
     """Write one batch of rows to the table; the same batch again replaces itself.
 
     The batch number is the rows' ingestion time unless given.  With a number given, whatever an earlier
-    attempt of the batch left is dropped first, also in partitions that this attempt does not write.
+    attempt of the batch left is dropped first, also in partitions that this attempt does not write and
+    in compactions that have merged it since.
     """
     number = F.unix_millis("_ingestion_timestamp") if batch_id is None else F.lit(batch_id).cast("long")
     if batch_id is not None:
         spark = df.sparkSession
         drop_partitions(spark, config.table, list_partitions(spark, config.table, 2 * batch_id))
-        if batch_id in _merged_latest(spark, config.table):
-            recover(spark, config.table)
-            merged = [p for p in list_partitions(spark, config.table) if p.commit % 2]
-            for chunk in _chunks(merged, 200):
-                _rewrite(spark, config, chunk, F.col("_batch_id") != batch_id)
+        _take_out(spark, config, batch_id)
     rows = df.withColumn("_batch_id", number).withColumn(COMMIT, F.col("_batch_id") * 2)
     write_rows(rows, config, cluster, max_records_per_file)
 
@@ -408,13 +407,80 @@ def recover(spark: SparkSession, table: str) -> int:
     return dropped
 
 
+def merged_batches(spark: SparkSession, table: str) -> dict[int, list[int]]:
+    """For each compaction's commit the batches it holds.
+
+    A compaction keeps one file of them under ``_notes`` as long as it has partitions; its name tells the
+    first and last batch, so a replay opens only those that may hold its batch.
+    """
+    return {commit: _held(spark, path) for commit, _, _, path in _holdings(spark, table)}
+
+
+def _holdings(spark: SparkSession, table: str) -> list[tuple[int, int, int, str]]:
+    """Commit, first and last batch, and file of every compaction's record."""
+    folder = f"{table_path(spark, table)}/{NOTES}"
+    names = [n.removesuffix(".json").split("_") for n in list_names(spark, folder) if n.startswith("holds_") and n.endswith(".json")]
+    return [(int(commit), int(first), int(last), f"{folder}/holds_{commit}_{first}_{last}.json") for _, commit, first, last in names]
+
+
+def _held(spark: SparkSession, path: str) -> list[int]:
+    return json.loads(read_text(spark, path) or "[]")
+
+
+def _take_out(spark: SparkSession, config: LogConfig, batch_id: int) -> None:
+    """Write the merged partitions that hold rows of a batch again, without them."""
+    table = config.table
+    if not any(first <= batch_id <= last for _, first, last, _ in _holdings(spark, table)):
+        return
+    recover(spark, table)
+    commits = [c for c, first, last, path in _holdings(spark, table) if first <= batch_id <= last and batch_id in _held(spark, path)]
+    if not commits:
+        return
+    spark.catalog.refreshTable(table)
+    keys = [*config.partition_by, COMMIT]
+    found = (spark.table(table).where(F.col(COMMIT).isin(commits) & (F.col("_batch_id") == batch_id))
+             .select([F.col(f"`{c}`").cast("string").alias(f"k{i}") for i, c in enumerate(keys)]).distinct().collect())
+    holding = {tuple(r) for r in found}
+    listed = [p for c in commits for p in list_partitions(spark, table, c)]
+    for chunk in _chunks([p for p in listed if tuple(dict(p.values)[k] for k in keys) in holding], 200):
+        _rewrite(spark, config, chunk, F.col("_batch_id") != batch_id, without=lambda b: b == batch_id)
+    _forget_batches(spark, table, commits, lambda b: b == batch_id)
+
+
+def _forget_batches(spark: SparkSession, table: str, commits: list[int], gone: Callable[[int], bool]) -> None:
+    """Take batches out of the records of compactions."""
+    for commit, _, _, path in _holdings(spark, table):
+        if commit in commits:
+            stay = [b for b in _held(spark, path) if not gone(b)]
+            _note_batches(spark, table, commit, stay)
+            if not stay or path != _holding_path(spark, table, commit, stay):
+                delete_paths(spark, [path])
+
+
+def _holding_path(spark: SparkSession, table: str, commit: int, batches: list[int]) -> str:
+    return f"{table_path(spark, table)}/{NOTES}/holds_{commit}_{min(batches)}_{max(batches)}.json"
+
+
+def _note_batches(spark: SparkSession, table: str, commit: int, batches: list[int]) -> None:
+    if batches:
+        write_text(spark, _holding_path(spark, table, commit, batches), json.dumps(sorted(batches)))
+
+
 def _rewrite(spark: SparkSession, config: LogConfig, old: list[Partition], keep: Column | None = None,
-             max_records_per_file: int = 0) -> None:
-    """One job: write the rows of partitions (those to keep) under a commit of their own, then drop the partitions."""
+             max_records_per_file: int = 0, without: Callable[[int], bool] = lambda b: False) -> None:
+    """One job: write the rows of partitions (those to keep) under a commit of their own, then drop the partitions.
+
+    ``without`` names the batches whose rows are not kept.  The batches that stay are recorded before
+    anything is written: a record may name a batch that is not there, never the other way round.
+    """
     table = config.table
     commit = 2 * int(time.time() * 1000) + 1
     while list_partitions(spark, table, commit):
         commit += 2
+    before = {p.commit for p in old if p.commit % 2}
+    held = {p.commit // 2 for p in old if p.commit % 2 == 0}
+    held |= {b for c, _, _, path in _holdings(spark, table) if c in before for b in _held(spark, path)}
+    _note_batches(spark, table, commit, [b for b in held if not without(b)])
     note = f"{table_path(spark, table)}/{NOTES}/merge-{commit}.json"
     write_text(spark, note, json.dumps({"commit": commit, "merged": [{"path": p.path, "values": p.values} for p in old]}))
     spark.catalog.refreshTable(table)
@@ -428,6 +494,11 @@ def _rewrite(spark: SparkSession, config: LogConfig, old: list[Partition], keep:
     delete_paths(spark, [f"{note}.written", note])
 
 
+def _drop_old_records(spark: SparkSession, table: str, live: set[int]) -> None:
+    """Records of compactions that have no partitions any more."""
+    delete_paths(spark, [path for commit, _, _, path in _holdings(spark, table) if commit not in live])
+
+
 def compact(spark: SparkSession, config: LogConfig, include_latest: bool = False,
             groups_per_job: int = 200, max_records_per_file: int = 0) -> int:
     """Merge the commits of each table partition into one, sorted; returns partitions merged.
@@ -440,30 +511,18 @@ def compact(spark: SparkSession, config: LogConfig, include_latest: bool = False
     table = config.table
     recover(spark, table)
     parts = list_partitions(spark, table)
+    _drop_old_records(spark, table, {p.commit for p in parts})
     newest = max((p.commit for p in parts if p.commit % 2 == 0), default=None)
     groups: dict[tuple, list[Partition]] = {}
     for p in parts:
         if include_latest or p.commit != newest:
             groups.setdefault(p.group, []).append(p)
     merge = [ps for ps in groups.values() if len(ps) > 1]
-    if include_latest and newest is not None:
-        _note_merged_latest(spark, table, newest // 2)
     for chunk in _chunks(merge, groups_per_job):
         _rewrite(spark, config, [p for ps in chunk for p in ps], max_records_per_file=max_records_per_file)
     return len(merge)
 
 
-def _merged_latest(spark: SparkSession, table: str) -> list[int]:
-    text = read_text(spark, f"{table_path(spark, table)}/{NOTES}/latest.json")
-    return json.loads(text) if text else []
-
-
-def _note_merged_latest(spark: SparkSession, table: str, batch: int) -> None:
-    """Remember a batch that was merged while it was the newest and may be written again."""
-    known = [b for b in _merged_latest(spark, table) if b != batch]
-    write_text(spark, f"{table_path(spark, table)}/{NOTES}/latest.json", json.dumps([*known, batch]))
-
-
 def date_column(config: LogConfig) -> str | None:
     """The partition column retention goes by: the first that is a date."""
     dates = {f.name for f in config.fields if f.type == "date"} | {"_ingestion_date"}
@@ -494,8 +553,10 @@ def rollback(spark: SparkSession, config: LogConfig, version: int) -> None:
     recover(spark, table)
     listed = list_partitions(spark, table)
     drop_partitions(spark, table, [p for p in listed if p.commit % 2 == 0 and p.commit > 2 * version])
-    for chunk in _chunks([p for p in listed if p.commit % 2], 200):
-        _rewrite(spark, config, chunk, F.col("_batch_id") <= version)
+    later = {c for c, _, last, _ in _holdings(spark, table) if last > version}
+    for chunk in _chunks([p for p in listed if p.commit in later], 200):
+        _rewrite(spark, config, chunk, F.col("_batch_id") <= version, without=lambda b: b > version)
+    _forget_batches(spark, table, [*later], lambda b: b > version)
 
 
 def backfill(spark: SparkSession, source: DataFrame, config: LogConfig) -> None:

@@ -342,6 +342,30 @@ def test_compaction_between_failure_and_replay_loses_nothing(spark, pipe, sf_dir
         assert p.rows(t).count() == EXPECTED["sf0.001"][t]
 
 
+def test_backfill_and_compaction_between_failure_and_replay(spark, pipe, monkeypatch):
+    """The failed batch is no longer the newest when it is merged; its stream then writes it again."""
+    p = pipe("demo_events")
+    c = p.configs["demo_events"]
+    p.topics.publish(encode(demo_rows(spark, 5), c), c.topic)
+    p.run()
+    p.topics.publish(encode(demo_rows(spark, 5, 5), c), c.topic)
+    write = tables.append_batch
+
+    def lost_after_writing(df, config, **how):
+        write(df, config, **how)
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(tables, "append_batch", lost_after_writing)
+    with pytest.raises(Exception):
+        p.run()
+    monkeypatch.undo()
+    assert p.rows("demo_events").count() == 10
+    tables.backfill(spark, demo_rows(spark, 3, 20), c)
+    tables.compact(spark, c)
+    p.run()
+    assert p.rows("demo_events").count() == 13
+
+
 def test_timed_trigger_and_watch(spark, pipe, monkeypatch):
     p = pipe("demo_events")
     c = p.configs["demo_events"]

@@ -96,6 +96,55 @@ def test_late_batch_below_a_compaction_stays(spark, demo):
     assert sorted(r[0] for r in tables.read_table(spark, demo.table).select("_batch_id").distinct().collect()) == [10, 20, 30, 40]
 
 
+def test_merged_batch_that_is_written_again_replaces_its_merged_rows(spark, demo):
+    for batch in (10, 20, 30):
+        tables.append_batch(rows(spark, 10, batch), demo, batch)
+    tables.compact(spark, demo)
+    assert {b for held in tables.merged_batches(spark, demo.table).values() for b in held} == {10, 20}
+    before = tables.list_partitions(spark, demo.table)
+    tables.append_batch(rows(spark, 10, 20), demo, 20)
+    table = tables.read_table(spark, demo.table)
+    assert table.count() == 30 and table.select("user_id").distinct().count() == 30
+    tables.append_batch(rows(spark, 10, 20), demo, 20)  # and once more
+    tables.compact(spark, demo, include_latest=True)  # 10 (merged), 20 and 30
+    tables.append_batch(rows(spark, 4, 20), demo, 20)
+    tables.append_batch(rows(spark, 10, 30), demo, 30)
+    assert tables.read_table(spark, demo.table).groupBy("_batch_id").count().orderBy("_batch_id").collect() == [(10, 10), (20, 4), (30, 10)]
+    assert before and tables.recover(spark, demo.table) == 0
+
+
+def test_any_order_of_batches_compactions_and_replays(spark, demo):
+    import random
+
+    rng = random.Random(4)
+    want = {}
+    for step in range(12):
+        if step % 4 == 3:
+            tables.compact(spark, demo, include_latest=rng.random() < 0.5)
+        else:
+            batch = rng.choice([1, 2, 3, 4])
+            want[batch] = rng.randint(1, 9)
+            tables.append_batch(rows(spark, want[batch], 100 * batch), demo, batch)
+        assert dict(tables.read_table(spark, demo.table).groupBy("_batch_id").count().collect()) == want
+    tables.compact(spark, demo, include_latest=True)
+    tables.compact(spark, demo, include_latest=True)
+    live = {p.commit for p in tables.list_partitions(spark, demo.table)}
+    assert set(tables.merged_batches(spark, demo.table)) <= live  # records go with their partitions
+
+
+def test_replay_after_a_compaction_rewrites_only_partitions_that_hold_the_batch(spark, demo):
+    one_day = rows(spark, 30, 50).where(F.col("event_date") == F.lit(DAY0))
+    tables.append_batch(rows(spark, 30), demo, 1)
+    tables.append_batch(rows(spark, 30, 100), demo, 2)
+    tables.append_batch(one_day, demo, 3)
+    tables.compact(spark, demo, include_latest=True)
+    merged = {p.path for p in tables.list_partitions(spark, demo.table)}
+    tables.append_batch(one_day, demo, 3)
+    after = {p.path for p in tables.list_partitions(spark, demo.table)}
+    assert len(merged - after) == 1
+    assert tables.read_table(spark, demo.table).count() == 60 + one_day.count()
+
+
 def test_replay_with_fewer_partitions_replaces_all(spark, demo):
     tables.append_batch(rows(spark, 30), demo, 1)
     one_day = rows(spark, 30).where(F.col("event_date") == F.lit(DAY0))
