@@ -7,6 +7,7 @@ def _load() -> None:
     from logweir.plans import (  # noqa: F401
         config_queries,
         ingest_queries,
+        insight_queries,
         report_queries,
         table_queries,
     )
