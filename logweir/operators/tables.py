@@ -298,10 +298,10 @@ def _delete_leftovers(spark: SparkSession, root: str) -> None:
 
 @dataclasses.dataclass(frozen=True)
 class MergeNote:
-    """What one compaction job merges, and the commit it writes; ``written`` once that is complete."""
+    """What one compaction job merges, and the commits it writes; ``written`` once that is complete."""
 
     path: str
-    commit: int
+    commits: tuple[int, ...]
     merged: tuple[Partition, ...]
     written: bool
 
@@ -315,7 +315,7 @@ def merge_notes(spark: SparkSession, table: str) -> list[MergeNote]:
         if name.startswith("merge-") and name.endswith(".json"):
             note = json.loads(read_text(spark, f"{folder}/{name}"))
             merged = tuple(Partition(p["path"], tuple((k, v) for k, v in p["values"])) for p in note["merged"])
-            out.append(MergeNote(f"{folder}/{name}", note["commit"], merged, f"{name}.written" in names))
+            out.append(MergeNote(f"{folder}/{name}", tuple(note["commits"]), merged, f"{name}.written" in names))
     return out
 
 
@@ -332,7 +332,7 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
         if note.written:
             rows = rows.where(~_any_of(rows, [p.values for p in note.merged]))
         else:
-            rows = rows.where(F.col(COMMIT) != note.commit)
+            rows = rows.where(~F.col(COMMIT).isin(*note.commits))
     return rows
 
 
@@ -401,7 +401,7 @@ def recover(spark: SparkSession, table: str) -> int:
     _delete_leftovers(spark, table_path(spark, table))
     dropped = 0
     for note in merge_notes(spark, table):
-        gone = list(note.merged) if note.written else list_partitions(spark, table, note.commit)
+        gone = list(note.merged) if note.written else [p for c in note.commits for p in list_partitions(spark, table, c)]
         dropped += drop_partitions(spark, table, gone)
         delete_paths(spark, [f"{note.path}.written", note.path])
     return dropped
@@ -467,28 +467,36 @@ def _note_batches(spark: SparkSession, table: str, commit: int, batches: list[in
 
 
 def _rewrite(spark: SparkSession, config: LogConfig, old: list[Partition], keep: Column | None = None,
-             max_records_per_file: int = 0, without: Callable[[int], bool] = lambda b: False) -> None:
+             max_records_per_file: int = 0, without: Callable[[int], bool] = lambda b: False,
+             packed: list[Packing] | None = None) -> None:
     """One job: write the rows of partitions (those to keep) under a commit of their own, then drop the partitions.
 
     ``without`` names the batches whose rows are not kept.  The batches that stay are recorded before
     anything is written: a record may name a batch that is not there, never the other way round.
+    ``packed`` gives the files of each table partition; a remainder gets a second commit, so that the next
+    compaction need not touch the full files beside it.
     """
     table = config.table
     commit = 2 * int(time.time() * 1000) + 1
-    while list_partitions(spark, table, commit):
+    while list_partitions(spark, table, commit) or list_partitions(spark, table, commit + 2):
         commit += 2
+    commits = [commit] if packed is None else [commit, commit + 2]
     before = {p.commit for p in old if p.commit % 2}
     held = {p.commit // 2 for p in old if p.commit % 2 == 0}
     held |= {b for c, _, _, path in _holdings(spark, table) if c in before for b in _held(spark, path)}
-    _note_batches(spark, table, commit, [b for b in held if not without(b)])
+    for c in commits:
+        _note_batches(spark, table, c, [b for b in held if not without(b)])
     note = f"{table_path(spark, table)}/{NOTES}/merge-{commit}.json"
-    write_text(spark, note, json.dumps({"commit": commit, "merged": [{"path": p.path, "values": p.values} for p in old]}))
+    write_text(spark, note, json.dumps({"commits": commits, "merged": [{"path": p.path, "values": p.values} for p in old]}))
     spark.catalog.refreshTable(table)
     rows = spark.table(table)
     rows = rows.where(_any_of(rows, [p.values for p in old]))
     if keep is not None:
         rows = rows.where(keep)
-    write_rows(rows.withColumn(COMMIT, F.lit(commit)), config, max_records_per_file=max_records_per_file)
+    if packed is None:
+        write_rows(rows.withColumn(COMMIT, F.lit(commit)), config, max_records_per_file=max_records_per_file)
+    else:
+        _write_packed(rows, config, packed, commit)
     write_text(spark, f"{note}.written", "")
     drop_partitions(spark, table, old)
     delete_paths(spark, [f"{note}.written", note])
@@ -499,9 +507,59 @@ def _drop_old_records(spark: SparkSession, table: str, live: set[int]) -> None:
     delete_paths(spark, [path for commit, _, _, path in _holdings(spark, table) if commit not in live])
 
 
-def compact(spark: SparkSession, config: LogConfig, include_latest: bool = False,
-            groups_per_job: int = 200, max_records_per_file: int = 0) -> int:
-    """Merge the commits of each table partition into one, sorted; returns partitions merged.
+@dataclasses.dataclass(frozen=True)
+class Packing:
+    """The files the rows of one table partition are dealt over.
+
+    ``full`` files hold ``share`` of the rows each; what is left is a remainder file of its own.
+    """
+
+    group: tuple[tuple[str, str | None], ...]
+    full: int
+    share: float
+
+    @property
+    def files(self) -> int:
+        return self.full + (self.full * self.share < 1 - 1e-9)
+
+
+def pack(group: tuple, total: int, target: int) -> Packing:
+    """Files of about ``target`` bytes for ``total`` bytes: all within a quarter of it but one remainder at most."""
+    full, rest = divmod(total, target)
+    if rest >= 0.75 * target:
+        full, rest = full + 1, 0
+    elif full and rest <= 0.2 * target * full:
+        rest = 0
+    return Packing(group, full, (target / total if rest else 1 / full) if full else 0.0)
+
+
+def file_sizes(spark: SparkSession, table: str) -> DataFrame:
+    """folder (of the partition, as the catalog lists it), bytes: one row per data file, from file status alone."""
+    root = table_path(spark, table)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root)
+    place = F.expr("substring_index(path, '/', -1)")
+    folder = F.expr(f"substring(path, length(path) - length(substring_index(path, '{_after_root(root)}', -1)) + 1)")
+    return files.select(F.substring(folder, F.lit(1), F.length(folder) - F.length(place) - 1).alias("folder"), F.col("length").alias("bytes"))
+
+
+def _after_root(root: str) -> str:
+    """The end of the table's folder by which paths of its files are cut."""
+    return "/" + "/".join(root.rstrip("/").split("/")[-2:]).replace("'", "''") + "/"
+
+
+def _is_good(target: int) -> Column:
+    return F.col("bytes").between(int(0.75 * target), int(1.25 * target))
+
+
+def compact(spark: SparkSession, config: LogConfig, include_latest: bool = False, groups_per_job: int = 200,
+            max_records_per_file: int = 0, target_bytes: int | None = None) -> int:
+    """Merge the commits of each table partition into one, sorted; returns table partitions merged.
+
+    With ``target_bytes`` files are packed by size: partitions whose files are all within a quarter of the
+    target stay untouched, and the rows of the others are dealt over files of the target's size, with at
+    most one smaller remainder per table partition, which the next compaction takes up again.  Only file
+    sizes are looked at; rows are dealt at random, so sizes are met where rows are many, and where what is
+    merged are tiny files, whose footers weigh, the new files come out smaller.
 
     The newest batch is left out unless ``include_latest``: a stream may be about to write it
     again (that is noticed, and costs a rewrite).  Works through the table in jobs of a bounded number
@@ -517,10 +575,46 @@ def compact(spark: SparkSession, config: LogConfig, include_latest: bool = False
     for p in parts:
         if include_latest or p.commit != newest:
             groups.setdefault(p.group, []).append(p)
-    merge = [ps for ps in groups.values() if len(ps) > 1]
-    for chunk in _chunks(merge, groups_per_job):
-        _rewrite(spark, config, [p for ps in chunk for p in ps], max_records_per_file=max_records_per_file)
-    return len(merge)
+    if target_bytes is None:
+        merge = [ps for ps in groups.values() if len(ps) > 1]
+        for chunk in _chunks(merge, groups_per_job):
+            _rewrite(spark, config, [p for ps in chunk for p in ps], max_records_per_file=max_records_per_file)
+        return len(merge)
+
+    stats = file_sizes(spark, table).groupBy("folder").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.count_if(~_is_good(target_bytes)).alias("odd")).collect()
+    sizes = {unquote(r.folder): r for r in stats}
+    work: list[tuple[list[Partition], Packing]] = []
+    for group, listed in groups.items():
+        known = [(p, sizes[unquote(p.path)]) for p in listed if unquote(p.path) in sizes]
+        odd = [(p, s) for p, s in known if s.odd]
+        if sum(s.files for _, s in odd) > 1 or any(s.bytes > 1.25 * target_bytes for _, s in odd):
+            work.append(([p for p, _ in odd], pack(group, sum(s.bytes for _, s in odd), target_bytes)))
+    for chunk in _chunks(work, groups_per_job):
+        _rewrite(spark, config, [p for ps, _ in chunk for p in ps], packed=[p for _, p in chunk])
+    return len(work)
+
+
+def _write_packed(rows: DataFrame, config: LogConfig, packed: list[Packing], commit: int) -> None:
+    """One task and one file for each file of the packings: full ones under ``commit``, remainders under ``commit + 2``."""
+    types = {f.name: f.dataType.simpleString() for f in rows.schema}
+    cases, first = [], 0
+    for p in packed:
+        test = " AND ".join(f"`{k}` <=> CAST({_literal(v)} AS {types[k]})" for k, v in p.group) or "true"
+        number = f"least(CAST(floor(_u / {p.share!r}D) AS INT), {p.full})" if p.full else "0"
+        if p.files == p.full:
+            number = f"least({number}, {p.full - 1})"
+        cases.append(f"WHEN {test} THEN named_struct('file', {first} + {number}, 'commit', "
+                     f"IF({number} < {p.full}, {commit}L, {commit + 2}L))")
+        first += p.files
+    # The seed is fixed: a task that is run again deals its rows alike.
+    dealt = rows.withColumn("_u", F.rand(7)).withColumn("_to", F.expr(f"CASE {' '.join(cases)} END"))
+    target = rows.sparkSession.table(config.table).schema
+    placed = dealt.withColumn(COMMIT, F.col("_to.commit")).withColumn("_file", F.col("_to.file")).repartitionById(first, "_file")
+    order = [*[f"`{c}`" for c in config.partition_by], f"`{COMMIT}`", *[f"`{c}`" for c in config.sort_by if c in types]]
+    out = placed.sortWithinPartitions(*order).select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in target])
+    with session_conf(rows.sparkSession, WRITE_SETTINGS):
+        out.write.mode("overwrite").insertInto(config.table)
 
 
 def date_column(config: LogConfig) -> str | None:

@@ -120,6 +120,25 @@ def _(spark, sf):
     )
 
 
+@query("tbl14_packed_by_size", """
+    SELECT metric_date, service_name, count(*) AS row_count, sum(response_time_ms)::BIGINT AS total_ms,
+           count(DISTINCT CASE WHEN hour(log_ts) < 12 THEN 0 ELSE 1 END) AS batches
+    FROM api_metrics GROUP BY 1, 2""")
+def _(spark, sf):
+    """Files packed to a target size, then the second batch written once more: the same rows."""
+    stage = S.two_batch_table(spark, sf)
+    config = stage.configs["api_metrics"]
+    tables.compact(spark, config, include_latest=True, target_bytes=32 << 10)
+    for number, batch in enumerate(S.half_day_batches(spark, sf, "api_metrics")):
+        if number == 1:
+            tables.append_batch(batch, config, number)
+    tables.compact(spark, config, target_bytes=32 << 10)
+    return stage.table("api_metrics").groupBy("metric_date", "service_name").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("response_time_ms").alias("total_ms"),
+        F.countDistinct("_batch_id").alias("batches"),
+    )
+
+
 @query("tbl15_reset_and_reload", f"{PER_PARTITION} GROUP BY 1, 2")
 def _(spark, sf):
     """All tables of the database dropped, the table made anew, both batches loaded again."""

@@ -154,6 +154,76 @@ def test_replay_with_fewer_partitions_replaces_all(spark, demo):
     assert tables.read_table(spark, demo.table).count() == 0
 
 
+def sizes_of(tmp_path, config):
+    """File sizes by table partition."""
+    out = {}
+    for f in files_of(tmp_path, config):
+        folder = "/".join(x for x in f.parent.parts if "=" in x and not x.startswith("_commit"))
+        out.setdefault(folder, []).append(f.stat().st_size)
+    return out
+
+
+def wide_rows(spark, n, start=0, days=2):
+    """Rows that take about as many bytes in any order; the first day has most of them."""
+    i = F.col("id")
+    return spark.range(start, start + n).repartition(3).select(
+        F.timestamp_seconds(F.lit(1_700_000_000) + i).alias("timestamp"),
+        F.date_add(F.lit(DAY0), F.when(i % 10 == 0, i % days).otherwise(0).cast("int")).alias("event_date"),
+        F.sha2(i.cast("string"), 512).alias("user_id"), F.lit("view").alias("event_type"))
+
+
+@pytest.mark.parametrize("partition_by", [(), ("event_date",)])
+def test_files_are_packed_by_size(spark, config, database, tmp_path, partition_by):
+    c = config("demo_events", database, partition_by=partition_by)
+    tables.ensure_table(spark, c, str(tmp_path))
+    for batch in range(6):
+        tables.append_batch(with_ingestion_time(wide_rows(spark, 2_000, 2_000 * batch)), c, batch, cluster=False)
+    target = 256 << 10
+    assert tables.compact(spark, c, include_latest=True, target_bytes=target) > 0
+    table = tables.read_table(spark, c.table)
+    assert table.count() == table.select("user_id").distinct().count() == 12_000
+    for sizes in sizes_of(tmp_path, c).values():
+        assert sum(not 0.75 * target <= s <= 1.25 * target for s in sizes) <= 1
+    assert max(map(len, sizes_of(tmp_path, c).values())) >= 5
+    before = {f: f.stat().st_mtime_ns for f in files_of(tmp_path, c)}
+    assert tables.compact(spark, c, include_latest=True, target_bytes=target) == 0
+    assert {f: f.stat().st_mtime_ns for f in files_of(tmp_path, c)} == before
+
+    tables.append_batch(with_ingestion_time(wide_rows(spark, 1_500, 50_000)), c, 9, cluster=False)
+    assert tables.compact(spark, c, include_latest=True, target_bytes=target) > 0
+    good = {f for f in before if 0.75 * target <= f.stat().st_size <= 1.25 * target} if all(f.exists() for f in before) else {
+        f for f in before if f.exists()}
+    assert len(good) >= len(before) - len(sizes_of(tmp_path, c))  # only remainders were taken up again
+    for sizes in sizes_of(tmp_path, c).values():
+        assert sum(not 0.75 * target <= s <= 1.25 * target for s in sizes) <= 1
+    tables.append_batch(with_ingestion_time(wide_rows(spark, 1_500, 50_000)), c, 9)  # a packed batch again
+    assert tables.read_table(spark, c.table).count() == 13_500
+
+
+def test_packing_of_any_total():
+    for total in range(1, 6_000, 7):
+        p = tables.pack((), total, 1_000)
+        sizes = [total * p.share] * p.full + [total * (1 - p.full * p.share)] * (p.files - p.full)
+        assert abs(sum(sizes) - total) < 1e-6 and sum(not 750 <= round(s, 6) <= 1_250 for s in sizes) <= 1
+        assert all(750 <= round(s, 6) <= 1_250 for s in sizes[:p.full])
+
+
+def test_packing_stopped_while_writing(spark, demo, monkeypatch):
+    for batch in (0, 1):
+        tables.append_batch(rows(spark, 30, 30 * batch), demo, batch)
+
+    def failing(*_, **__):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(tables, "drop_partitions", failing)
+    with pytest.raises(RuntimeError):
+        tables.compact(spark, demo, include_latest=True, target_bytes=1 << 20)
+    monkeypatch.undo()
+    assert tables.read_table(spark, demo.table).count() == 60
+    tables.recover(spark, demo.table)
+    assert tables.read_table(spark, demo.table).count() == 60 and len(tables.list_partitions(spark, demo.table)) == 3
+
+
 def test_unpartitioned_table(spark, config, database, tmp_path):
     c = config("demo_events", database, partition_by=())
     tables.ensure_table(spark, c, str(tmp_path))
@@ -174,6 +244,10 @@ def test_null_and_odd_partition_values(spark, config, database, tmp_path):
         "event_type").distinct().count()
     assert tables.read_table(spark, c.table).count() == 18
     assert len({p.commit for p in tables.list_partitions(spark, c.table)}) == 1
+    tables.append_batch(data, c, 2)
+    n = tables.read_table(spark, c.table).select("event_type").distinct().count()
+    assert tables.compact(spark, c, include_latest=True, target_bytes=1 << 20) == n == len(tables.list_partitions(spark, c.table))
+    assert tables.read_table(spark, c.table).count() == 27
 
 
 # --- evolution --------------------------------------------------------------------------
