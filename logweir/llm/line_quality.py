@@ -7,14 +7,15 @@ counted; a line is boilerplate on a host when at least ``min_docs`` documents an
 ``min_share`` of the host's documents hold it.  A document is rejected when less than ``min_left`` of its
 words remain without such lines; ``kept_documents`` gives the texts of the others without them.
 
-Copies must not turn honest text into boilerplate, so what counts is how different the documents around
-a line are: each document gives the line a sign, the smallest MD5 among its other lines, and distinct
-signs are counted.  Exact copies give one sign and near copies mostly the same ones; where signs are fewer than
-``MIN_APART`` of the distinct texts that hold the line, those texts are copies and the line stays.
+Copies must not turn honest text into boilerplate.  Documents with the same text count once.  Documents
+that have next to nothing of their own (less than one part in ``OWN_PARTS`` of their words
+stands in lines below the limits) are near copies of each other, as 5-word shingles in common to three quarters leave no more than a
+seventh to each; they do not count either.  So a template is boilerplate, however many lines it has, once
+enough documents hold it beside text of their own, and is then removed from all documents of the host.
 
-Counting is aggregations with map-side combination (distinct (host, line, sign), then lines),
-so a line in a third of all documents costs each task one row.  The lines above the limits go back to
-the documents over a salted join: ``SALT`` copies of each limit row, so one hot line is spread evenly.
+Counting is aggregations with map-side combination (distinct (host, line, text), then lines), so a line in
+a third of all documents is counted in parts.  The lines above the limits go back to the documents over a
+salted join: ``SALT`` copies of each limit row, so one hot line is spread evenly.
 
 Defined cases: a null or empty text has no words and fails the base rule; null sources are one host;
 repeated doc_ids are judged by their own text (verdicts are joined on id and text hash); lines without
@@ -32,9 +33,9 @@ MOST_REPEATED = 30
 WINDOW = 8
 MIN_DOCS = 10
 MIN_SHARE = 0.01
-MIN_APART = 0.5
+OWN_PARTS = 7  # a text of its own has at least one part in so many outside frequent lines
 MIN_LEFT = 0.5
-SALT = 16
+SALT = 64
 
 
 def _words(text: Column) -> Column:
@@ -109,26 +110,40 @@ def normalised(line: Column) -> Column:
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """One row per line with a word: the document's key, sign (of the document around the line), pos (among all its lines), line (hash), n_words."""
+    """One row per line with a word: the document's key, pos (among all its lines), line (hash), n_words, total (words of the text)."""
     placed = F.transform(F.split("text", "\n"), lambda x, i: F.struct(normalised(x).alias("x"), i.alias("pos")))
     listed = docs.select(*_identity(), F.filter(placed, lambda line: line["x"] != "").alias("_lines"))
     hashed = listed.select(*KEY, F.transform("_lines", lambda line: F.struct(
-        F.md5(line["x"].cast("binary")).alias("h"), word_count(line["x"]).alias("n"), line["pos"].alias("pos"))).alias("_lines"))
-    least = hashed.withColumn("_least", F.slice(F.array_sort(F.array_distinct(F.transform("_lines", lambda x: x["h"]))), 1, 2))
-    each = least.select(*KEY, "_least", F.explode("_lines").alias("_line"))
-    around = F.when(F.get("_least", F.lit(0)) == F.col("_line.h"), F.get("_least", F.lit(1))).otherwise(F.get("_least", F.lit(0)))
-    return each.select(*KEY, F.xxhash64(F.coalesce(around, F.lit(""))).alias("sign"), F.col("_line.pos").alias("pos"), F.xxhash64("_line.h").alias("line"),
-                       F.col("_line.n").alias("n_words"))
-
-
-def boilerplate(per_line: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
-    """Lines above the limits: host, line, n_docs (documents that differ around it), host_docs (distinct texts)."""
-    signs = per_line.select("host", "line", "sign").distinct().groupBy("host", "line").agg(F.count("*").alias("n_docs"))
-    often = signs.filter(F.col("n_docs") >= min_docs)
+        F.xxhash64(line["x"]).alias("h"), word_count(line["x"]).alias("n"), line["pos"].alias("pos"))).alias("_lines"))
+    total = F.aggregate("_lines", F.lit(0).cast("long"), lambda n, line: n + line["n"])
+    each = hashed.select(*KEY, total.alias("total"), F.explode("_lines").alias("_line"))
+    return each.select(*KEY, F.col("_line.pos").alias("pos"), F.col("_line.h").alias("line"), F.col("_line.n").alias("n_words"), "total")
+
+
+def frequent_lines(per_line: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
+    """Lines that enough distinct texts of a host hold: host, line, least (how many are enough)."""
     held = per_line.select("host", "line", "text_key").distinct().groupBy("host", "line").agg(F.count("*").alias("n_texts"))
-    hosts = per_line.select("host", "text_key").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
-    return (often.join(held, ["host", "line"]).filter(F.col("n_docs") >= MIN_APART * F.col("n_texts")).drop("n_texts")
-            .join(hosts, "host").filter(F.col("n_docs") >= min_share * F.col("host_docs")))
+    hosts = per_line.select("host", "text_key").distinct().groupBy("host").agg(F.count("*").alias("host_texts"))
+    often = held.filter(F.col("n_texts") >= min_docs).join(hosts, "host")
+    least = F.greatest(F.lit(min_docs), F.ceil(F.col("host_texts") * F.lit(min_share)))
+    return often.withColumn("least", least).filter("n_texts >= least").select("host", "line", "least")
+
+
+def _salted(limits: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
+    """The rows on the lines of ``limits``, with the columns of both; a hot line is dealt over ``SALT`` tasks."""
+    dealt = limits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(SALT)).cast("int"))
+    return salted.join(dealt, ["host", "line", "salt"]).select(*columns)
+
+
+def boilerplate(marked: DataFrame) -> DataFrame:
+    """Lines that enough documents hold beside text of their own: host, line.  ``marked`` are the rows of frequent lines."""
+    once = marked.select("host", "text_key", "pos", "line", "n_words", "total", "least").distinct()
+    shared = once.groupBy("host", "text_key").agg(F.sum("n_words").alias("shared"), F.max("total").alias("total"))
+    own = shared.filter(OWN_PARTS * (F.col("total") - F.col("shared")) >= F.col("total")).select("host", "text_key")
+    held = once.select("host", "text_key", "line", "least").distinct().join(own, ["host", "text_key"], "left_semi")
+    counted = held.groupBy("host", "line", "least").agg(F.count("*").alias("n_docs"))
+    return counted.filter("n_docs >= least").select("host", "line")
 
 
 def removable(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
@@ -138,13 +153,10 @@ def removable(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_
     as often as the row does, and the sum is divided by that.
     """
     per_line = cut(lines(docs))
-    limits = boilerplate(per_line, min_docs, min_share).select("host", "line")
-    limits = limits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    salted = per_line.select(*KEY, "pos", "line", "n_words",
-                             F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(SALT)).cast("int").alias("salt"))
+    marked = cut(_salted(frequent_lines(per_line, min_docs, min_share), per_line, *KEY, "pos", "line", "n_words", "total", "least"))
     places = F.collect_set("pos")
     once = F.size(places) / F.count("*")
-    return (salted.join(limits, ["host", "line", "salt"]).groupBy(*KEY)
+    return (_salted(cut(boilerplate(marked)), marked, *KEY, "pos", "n_words").groupBy(*KEY)
             .agg(F.round(F.sum("n_words") * once).cast("long").alias("n_removed"), F.sort_array(places).alias("gone")))
 
 
@@ -199,14 +211,15 @@ raw AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM texts),
 dups AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM raw WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
 lines AS (SELECT r, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'),
                                         '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line FROM raw),
-hashed AS (SELECT l.r, t.host, t.text, l.line, md5(l.line) AS h, len(regexp_extract_all(l.line, '[^\\x20\\x09-\\x0D]+')) AS n
-           FROM lines l JOIN texts t USING (r) WHERE l.line <> ''),
-least_two AS (SELECT r, list_sort(list(DISTINCT h)) AS m FROM hashed GROUP BY r),
-full_lines AS (SELECT h.*, coalesce(CASE WHEN m[1] = h THEN m[2] ELSE m[1] END, '') AS sign FROM hashed h JOIN least_two USING (r)),
-hosts AS (SELECT host, count(DISTINCT text) AS n FROM full_lines GROUP BY host),
-limits AS (SELECT f.host, f.line FROM full_lines f JOIN hosts h USING (host) GROUP BY f.host, f.line, h.n
-           HAVING count(DISTINCT f.sign) >= {MIN_DOCS} AND count(DISTINCT f.sign) >= {MIN_SHARE} * h.n
-                  AND count(DISTINCT f.sign) >= {MIN_APART} * count(DISTINCT f.text)),
+full_lines AS (SELECT l.r, t.host, t.text, l.line, len(regexp_extract_all(l.line, '[^\\x20\\x09-\\x0D]+')) AS n
+               FROM lines l JOIN texts t USING (r) WHERE l.line <> ''),
+hosts AS (SELECT host, greatest({MIN_DOCS}, ceil(count(DISTINCT text) * {MIN_SHARE})) AS least FROM full_lines GROUP BY host),
+frequent AS (SELECT f.host, f.line, h.least FROM full_lines f JOIN hosts h USING (host) GROUP BY f.host, f.line, h.least
+             HAVING count(DISTINCT f.text) >= h.least),
+own AS (SELECT f.r FROM full_lines f LEFT JOIN frequent q ON q.host = f.host AND q.line = f.line GROUP BY f.r
+        HAVING {OWN_PARTS} * coalesce(sum(f.n) FILTER (q.line IS NULL), 0) >= sum(f.n)),
+limits AS (SELECT f.host, f.line FROM full_lines f JOIN own USING (r) JOIN frequent q ON q.host = f.host AND q.line = f.line
+           GROUP BY f.host, f.line, q.least HAVING count(DISTINCT f.text) >= q.least),
 gone AS (SELECT f.r, sum(f.n) AS n FROM full_lines f JOIN limits USING (host, line) GROUP BY f.r),
 counts AS (
   SELECT t.r, t.doc_id, len(regexp_extract_all(t.text, '[^\x20\x09-\x0D]+')) AS n_words,

@@ -51,6 +51,29 @@ def test_boilerplate_lines_deplete_documents_but_copies_do_not(frame):
     assert got[300].kept and got[300].n_boilerplate_words == 0
 
 
+@pytest.mark.parametrize("shared", [1, 4, 8, 12])
+def test_templates_of_any_number_of_lines_go(frame, shared):
+    template = [f"{prose(9_000 + i, 6)}" for i in range(shared)]
+    own = {i: [prose(100 * i + k, 8) for k in range(4)] for i in range(40)}
+    rows = [(i, "\n".join([*template[:shared // 2], *own[i], *template[shared // 2:]]), "a") for i in range(40)]
+    rows += [(500, "\n".join([*template, prose(77, 3)]), "a")]  # little but template
+    rows += [(600 + i, "\n".join([*own[3], prose(4, 20)]), "b") for i in range(40)]  # copies alone
+    near = [prose(7_000 + k, 12) for k in range(10)]
+    rows += [(700 + i, "\n".join([*near, prose(8_000 + i, 5)]), "c") for i in range(40)]  # near copies alone
+    got = {r.doc_id: r.n_boilerplate_words for r in line_quality.judge(frame(rows)).collect()}
+    assert {got[i] for i in range(40)} == {6 * shared} == {got[500]}
+    assert {got[600 + i] for i in range(40)} == {got[700 + i] for i in range(40)} == {0}
+    kept = {r.doc_id: r.text for r in line_quality.kept_documents(frame(rows)).collect()}
+    assert kept.get(3) == ("\n".join(own[3]) if shared < 8 else None)  # with 8 lines most of the words are template
+
+
+def test_share_of_a_host_counts(frame):
+    line = "a line that is on some pages of a large host only and so stays where it is"
+    rows = [(i, f"{prose(i, 25)}\n{line}" if i < 15 else prose(i, 25), "a") for i in range(1_600)]
+    assert {r.n_boilerplate_words for r in line_quality.judge(frame(rows)).collect()} == {0}
+    assert sum(r.n_boilerplate_words > 0 for r in line_quality.judge(frame(rows[:1_500])).collect()) == 15
+
+
 def test_quality_edge_cases(frame):
     rows = [(None, prose(1)), (None, prose(2)), (5, prose(3), None), (5, prose(3), None), (5, "other"), (6, None), (7, ""),
             (8, prose(8, 20_000)), (9, prose(9, 900))]
