@@ -74,7 +74,7 @@ def test_run_over_the_tables(spark, sf_dir):
 
 def test_every_operator_is_registered_once():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES if name != "pipeline")
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_nothing_else_imports_the_subpackage():
