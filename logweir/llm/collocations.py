@@ -8,9 +8,10 @@ each occurs.  n-grams are counted inside the distinct chunks, weighted.  An n-gr
 in which it starts before the closing trigger, so what lies in an overlap is counted once; no n-gram of
 up to four words reaches beyond that trigger.
 
-A phrase occurs at most as often as its parts, so n-grams of n words are only counted where both their
-parts of n - 1 words may be frequent.  That is looked up in a bitmap of fixed size over the frequent
-phrases: a full bitmap lets more through and never less, and the counts themselves are exact.
+A phrase occurs at most as often as its parts, so pairs are only counted where both words may be frequent,
+and phrases of three and four words where all their pairs may be.  That is looked up in bitmaps of fixed
+size over the frequent words and pairs: a full bitmap lets more through and never less, and the counts
+themselves are exact.
 
 Defined cases: null and empty texts and texts without words add nothing; a null lang is ``und``; rows
 are counted as they come, whatever their ids and however often they repeat; ties are ordered by score,
@@ -21,10 +22,10 @@ empty table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -47,50 +48,51 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def words_and_marks(text: str) -> list[bytes]:
-    """Words of all pieces, lower-cased A-Z, with one mark between pieces that have words."""
-    pieces = [p.split() for p in text.encode().lower().translate(ENDS).split(MARK)]
-    return list(chain.from_iterable((MARK, *p) for p in pieces if p))[1:]
+def normal(text: str) -> bytes:
+    """Words of all pieces, lower-cased A-Z, with one mark between pieces that have words, all joined by one space."""
+    pieces = map(bytes.split, text.encode().lower().translate(ENDS).split(MARK))
+    return (b" " + MARK + b" ").join([b" ".join(p) for p in pieces if p])
 
 
-class Numbers(dict):
-    """Numbers words as they come."""
+class Words:
+    """The words and marks of some normal texts, one after the other, as numbers."""
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
-
-
-def _numbered(words: list[bytes], numbers: Numbers) -> np.ndarray:
-    return np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-
-
-def _hashes(words: Iterator[bytes], n: int) -> np.ndarray:
-    return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, n)
+    def __init__(self, texts: pa.Array):
+        lists = pc.split_pattern(texts, " ")
+        self.sizes = pc.list_value_length(lists).to_numpy().astype(np.int64)
+        coded = lists.flatten().dictionary_encode()
+        self.ids = coded.indices.to_numpy().astype(np.int64)
+        self.known = coded.dictionary
+        values = self.known.to_pylist()
+        hashes = np.fromiter(map(xxh3_64_intdigest, values), np.uint64, len(values))
+        self.hashed = hashes[self.ids] if values else np.zeros(0, np.uint64)
+        self.lengths = pc.binary_length(self.known).to_numpy().astype(np.int64)[self.ids] if values else np.zeros(0, np.int64)
+        mark = MARK.decode()
+        self.no_mark = self.ids != (values.index(mark) if mark in values else -1)
 
 
 def chunks(texts: list[str | None], langs: list[str | None]) -> dict[tuple[str, bytes, bool], int]:
     """How often (lang, chunk, whether a text ends with it) occurs in the parse of some texts."""
     found: dict[tuple[str, bytes, bool], int] = {}
-    numbers = Numbers()
-    parsed = [words_and_marks(t) if t else [] for t in texts]
-    ids = _numbered(list(chain.from_iterable(parsed)), numbers)
-    hashed = _hashes(iter(numbers), len(numbers))[ids]
-    window = np.zeros(max(ids.size - TRIGGER + 1, 0), np.uint64)
+    normals = [(n, lang or "und") for t, lang in zip(texts, langs) if t and (n := normal(t))]
+    if not normals:
+        return found
+    words = Words(pa.array([n for n, _ in normals], pa.binary()).cast(pa.string()))
+    window = np.zeros(max(words.ids.size - TRIGGER + 1, 0), np.uint64)
     for k in range(TRIGGER):
-        window = _mix(window + hashed[k:k + window.size] + _STEP)
+        window = _mix(window + words.hashed[k:k + window.size] + _STEP)
     opens = np.flatnonzero(window % np.uint64(EVERY) == 0)
-    at = 0
-    for words, lang in zip(parsed, langs):
-        if words:
-            lo, hi = np.searchsorted(opens, (at, at + len(words) - TRIGGER + 1))
-            starts = [0, *(s for s in (opens[lo:hi] - at).tolist() if s)]
-            for start, stop in zip(starts, starts[1:]):
-                key = (lang or "und", b" ".join(words[start:stop + TRIGGER]), False)
-                found[key] = found.get(key, 0) + 1
-            key = (lang or "und", b" ".join(words[starts[-1]:]), True)
+    ends = np.cumsum(words.lengths + 1)  # of each word and the space behind it, over all texts
+    first = np.cumsum(words.sizes) - words.sizes
+    for (text, lang), at, n in zip(normals, first.tolist(), words.sizes.tolist()):
+        lo, hi = np.searchsorted(opens, (at, at + n - TRIGGER + 1))
+        before = int(ends[at - 1]) if at else 0
+        inner = opens[lo:hi][opens[lo:hi] > at]
+        starts = [0, *(ends[inner - 1] - before).tolist()]
+        stops = [*(ends[inner + TRIGGER - 1] - before - 1).tolist(), len(text)]
+        for k, (start, stop) in enumerate(zip(starts, stops)):
+            key = (lang, text[start:stop], k == inner.size)
             found[key] = found.get(key, 0) + 1
-        at += len(words)
     return found
 
 
@@ -114,78 +116,83 @@ def dictionary(docs: DataFrame) -> DataFrame:
 class Grams:
     """The n-grams of some distinct chunks, level by level, by exact numbers."""
 
-    def __init__(self, langs: list[str], texts: list[str], final: np.ndarray, times: np.ndarray):
-        parsed = [t.encode().split(b" ") for t in texts]
-        sizes = np.array([len(p) for p in parsed], np.int64)
-        self.words = list(chain.from_iterable(parsed))
-        numbers, tongues = Numbers(), Numbers()
-        self.ids = _numbered(self.words, numbers)
-        row = np.repeat(np.arange(sizes.size), sizes)
-        self.stop = np.cumsum(sizes)[row]
-        self.lang = np.fromiter((tongues[x] for x in langs), np.int64, len(langs))[row]
-        self.names = list(tongues)
-        self.hashed = _hashes(iter(numbers), len(numbers))[self.ids]
+    def __init__(self, langs: pa.Array, texts: pa.Array, final: np.ndarray, times: np.ndarray):
+        words = Words(texts)
+        self.ids, self.known, self.hashed, self.no_mark = words.ids, words.known, words.hashed, words.no_mark
+        row = np.repeat(np.arange(words.sizes.size), words.sizes)
+        self.stop = np.cumsum(words.sizes)[row]
+        tongues = langs.dictionary_encode()
+        self.names = tongues.dictionary
+        of_row = tongues.indices.to_numpy().astype(np.int64)
+        self.lang = of_row[row]
+        lang_hash = np.fromiter(map(xxh3_64_intdigest, self.names.to_pylist()), np.uint64, len(self.names))
+        self.start_hash = lang_hash[self.lang]
         self.times = times[row]
-        self.span = max(len(numbers), 1)
+        self.span = max(len(self.known), 1)
         # A word that starts inside the closing trigger is the next chunk's; marks start nothing.
         owned = np.arange(row.size) < np.where(final[row], self.stop, self.stop - TRIGGER)
-        self.no_mark = self.ids != numbers.get(MARK, -1)
         self.at = np.flatnonzero(owned & self.no_mark)
-        self.key = self._small(self.lang[self.at] * self.span + self.ids[self.at])
-        lang_hash = _hashes((name.encode() for name in self.names), len(self.names))
-        self.start_hash = lang_hash[self.lang] if self.names else np.zeros(0, np.uint64)
+        self.key = self.lang[self.at] * self.span + self.ids[self.at]
         self.n = 1
 
     @staticmethod
     def _small(key: np.ndarray) -> np.ndarray:
         return np.unique(key, return_inverse=True)[1].astype(np.int64)
 
-    def hash(self, at: np.ndarray) -> np.ndarray:
+    def hash(self, at: np.ndarray, n: int) -> np.ndarray:
         """Hash of the lang and the n words from each position."""
         h = self.start_hash[at]
-        for k in range(self.n):
+        for k in range(n):
             h = _mix(h + self.hashed[at + k] + _STEP)
         return h
 
-    def may_be_frequent(self, at: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
-        slot = self.hash(at) % np.uint64(BITS)
+    def may_be_frequent(self, at: np.ndarray, n: int, bitmap: np.ndarray) -> np.ndarray:
+        slot = self.hash(at, n) % np.uint64(BITS)
         return (bitmap[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
-    def longer(self, bitmap: np.ndarray) -> None:
-        """From n to n + 1 words: those whose first and last n words may both be frequent."""
+    def longer(self, bitmap: np.ndarray, known: int) -> None:
+        """From n to n + 1 words: those whose parts of ``known`` words the bitmap may know."""
         at, n = self.at, self.n
         fits = at + n < self.stop[at]
         at, key = at[fits], self.key[fits]
         goes_on = self.no_mark[at + n]
         at, key = at[goes_on], key[goes_on]
-        both = self.may_be_frequent(at, bitmap)
-        at, key = at[both], key[both]
-        both = self.may_be_frequent(at + 1, bitmap)
-        self.at, key, self.n = at[both], key[both], n + 1
-        self.key = self._small(key * self.span + self.ids[self.at + n])
+        # Parts that do not end with the new word were looked up on the way to n words, unless they are as long.
+        for part in range(0 if known == n else n + 1 - known, n + 2 - known):
+            maybe = self.may_be_frequent(at + part, known, bitmap)
+            at, key = at[maybe], key[maybe]
+        self.at, self.n = at, n + 1
+        self.key = self._small(key * self.span + self.ids[at + n])
 
     def totals(self) -> pa.RecordBatch:
         """lang, phrase, a of the distinct n-grams here; for single words also one row per lang with phrase ''."""
         if not self.at.size:
             return pa.RecordBatch.from_pylist([], pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("a", pa.int64())]))
-        _, first, of = np.unique(self.key, return_index=True, return_inverse=True)
-        a = np.zeros(first.size, np.int64)
-        np.add.at(a, of, self.times[self.at])
+        cells = int(self.key.max()) + 1
+        if cells <= 8 * self.key.size:  # small numbers index the counts themselves
+            counts, places = np.zeros(cells, np.int64), np.zeros(cells, np.int64)
+            np.add.at(counts, self.key, self.times[self.at])
+            places[self.key] = np.arange(self.key.size)
+            found = np.flatnonzero(counts)
+            a, first = counts[found], places[found]
+        else:
+            _, first, of = np.unique(self.key, return_index=True, return_inverse=True)
+            a = np.zeros(first.size, np.int64)
+            np.add.at(a, of, self.times[self.at])
         starts = self.at[first]
         langs = self.lang[starts]
-        words, n = self.words, self.n
-        phrases = [words[i] for i in starts.tolist()] if n == 1 else [b" ".join(words[i:i + n]) for i in starts.tolist()]
-        if n == 1:
-            for lang in np.unique(langs).tolist():
-                phrases.append(b"")
-                a = np.append(a, a[:langs.size][langs == lang].sum())
-            langs = np.append(langs, np.unique(langs))
-        names = pa.array(self.names, pa.string()).take(pa.array(langs))
-        return pa.RecordBatch.from_arrays([names, pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(a)], names=["lang", "phrase", "a"])
+        parts = [self.known.take(pa.array(self.ids[starts + k])) for k in range(self.n)]
+        phrases = parts[0] if self.n == 1 else pc.binary_join_element_wise(*parts, " ")
+        if self.n == 1:
+            tongues = np.unique(langs)
+            every = [int(a[langs == lang].sum()) for lang in tongues]
+            phrases = pa.concat_arrays([phrases, pa.array([""] * len(every), pa.string())])
+            a, langs = np.append(a, every), np.append(langs, tongues)
+        return pa.RecordBatch.from_arrays([self.names.take(pa.array(langs)), phrases, pa.array(a)], names=["lang", "phrase", "a"])
 
 
-def phrase_counts(parse: DataFrame, bitmaps: list) -> DataFrame:
-    """lang, phrase, a: exact counts of the phrases of one word more than there are bitmaps.
+def phrase_counts(parse: DataFrame, bitmaps: list, longest: int) -> DataFrame:
+    """lang, phrase, a: exact counts of the phrases of one word more than there are bitmaps, and on to ``longest`` words.
 
     Left out are only phrases with a part that no bitmap knows.
     """
@@ -193,11 +200,14 @@ def phrase_counts(parse: DataFrame, bitmaps: list) -> DataFrame:
         known = [np.frombuffer(b.value, np.uint8) for b in bitmaps]
         for batch in rows:
             for part in slices(batch, batch.num_rows, PARSED_BYTES):
-                grams = Grams(part.column("lang").to_pylist(), part.column("chunk").to_pylist(),
+                grams = Grams(part.column("lang"), part.column("chunk"),
                               part.column("final").to_numpy(zero_copy_only=False), part.column("times").to_numpy())
-                for bitmap in known:
-                    grams.longer(bitmap)
+                for words, bitmap in enumerate(known, 1):
+                    grams.longer(bitmap, words)
                 yield grams.totals()
+                while grams.n < longest:
+                    grams.longer(known[-1], len(known))
+                    yield grams.totals()
 
     found = parse.select("lang", "chunk", "final", "times").mapInArrow(batches, "lang string, phrase string, a long")
     return found.groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
@@ -207,12 +217,10 @@ def bitmap_of(frequent: DataFrame) -> bytes:
     """One bit per phrase, by its hash.  At most BITS / 64 numbers come to the driver."""
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            grams = Grams(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(),
-                          np.ones(batch.num_rows, bool), np.ones(batch.num_rows, np.int64))
-            sizes = np.fromiter((p.count(" ") + 1 for p in batch.column("phrase").to_pylist()), np.int64, batch.num_rows)
-            if batch.num_rows:
-                grams.n = int(sizes[0])  # all phrases of a level have as many words
-            slot = grams.hash(np.cumsum(sizes) - sizes) % np.uint64(BITS)
+            grams = Grams(batch.column("lang"), batch.column("phrase"), np.ones(batch.num_rows, bool), np.ones(batch.num_rows, np.int64))
+            sizes = pc.count_substring(batch.column("phrase"), " ").to_numpy(zero_copy_only=False).astype(np.int64) + 1
+            n = int(sizes[0]) if batch.num_rows else 1  # all phrases of a level have as many words
+            slot = grams.hash(np.cumsum(sizes) - sizes, n) % np.uint64(BITS)
             places, of = np.unique(slot >> np.uint64(6), return_inverse=True)
             bits = np.zeros(places.size, np.uint64)
             np.bitwise_or.at(bits, of, np.uint64(1) << (slot & np.uint64(63)))
@@ -231,15 +239,12 @@ def frequent_phrases(docs: DataFrame, least: int = 30) -> DataFrame:
     parse = dictionary(docs)
     bitmaps: list = []
     levels = []
-    for n in range(1, LONGEST + 1):
-        counts = phrase_counts(parse, bitmaps).filter((F.col("a") >= least) | (F.col("phrase") == ""))
-        levels.append(stored(counts.withColumn("words", F.lit(n)), f"phrases{n}"))
-        if n < LONGEST:
+    for n, longest in ((1, 1), (2, 2), (3, LONGEST)):
+        counts = phrase_counts(parse, bitmaps, longest).filter((F.col("a") >= least) | (F.col("phrase") == ""))
+        levels.append(stored(counts.withColumn("words", F.size(F.split("phrase", " "))), f"phrases{n}"))
+        if n == longest:
             bitmaps.append(spark.sparkContext.broadcast(bitmap_of(levels[-1].filter("phrase <> ''"))))
-    out = levels[0]
-    for level in levels[1:]:
-        out = out.unionByName(level)
-    return out
+    return levels[0].unionByName(levels[1]).unionByName(levels[2])
 
 
 def _exact(column: str) -> Column:
