@@ -75,14 +75,16 @@ def delete_paths(spark: SparkSession, paths: list[str]) -> None:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small file, replaced whole: written beside and renamed."""
-    fs, make = _filesystem(spark, path), spark._jvm.org.apache.hadoop.fs.Path
-    part = make(f"{path}.{uuid.uuid4().hex}.tmp")
-    out = fs.create(part, True)
+    """A small file, replaced whole: written beside and renamed over the old one in one step."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    part, target = hadoop.Path(f"{path}.{uuid.uuid4().hex}.tmp"), hadoop.Path(path)
+    out = _filesystem(spark, path).create(part, True)
     out.write(bytearray(text.encode()))
     out.close()
-    fs.delete(make(path), False)
-    fs.rename(part, make(path))
+    rename = getattr(hadoop, "Options$Rename")
+    over = spark.sparkContext._gateway.new_array(rename, 1)
+    over[0] = rename.OVERWRITE
+    hadoop.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration()).rename(part, target, over)
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:

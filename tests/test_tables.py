@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from logweir.functions.envelope import with_ingestion_time
 from logweir.operators import history, tables
 from logweir.operators.quality import count_delta
+from logweir.session import read_text, write_text
 from logweir.sources.configs import Field
 
 DAY0 = dt.date(2024, 1, 1)
@@ -200,6 +201,15 @@ def test_files_are_packed_by_size(spark, config, database, tmp_path, partition_b
     assert tables.read_table(spark, c.table).count() == 13_500
 
 
+def test_small_files_are_replaced_in_one_step(spark, tmp_path):
+    path = f"{tmp_path}/notes/table.json"
+    for scheme in ("", "file://"):
+        for text in ("one", "", "zwei é" * 1000):
+            write_text(spark, scheme + path, text)
+            assert read_text(spark, scheme + path) == text
+    assert [f.name for f in (tmp_path / "notes").iterdir() if not f.name.startswith(".")] == ["table.json"]
+
+
 def test_packing_of_any_total():
     for total in range(1, 6_000, 7):
         p = tables.pack((), total, 1_000)
