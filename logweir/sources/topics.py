@@ -114,18 +114,28 @@ class KafkaTopics:
             reader = reader.option("minPartitions", self.min_partitions)
         return self._messages(reader.load())
 
-    def read(self, spark: SparkSession, topic: str, offsets: dict[int, int] | None = None) -> DataFrame:
-        start = json.dumps({topic: {str(p): o for p, o in offsets.items()}}) if offsets else "earliest"
-        reader = (
-            spark.read.format("kafka")
-            .option("kafka.bootstrap.servers", self.servers)
-            .option("subscribe", topic)
-            .option("startingOffsets", start)
-            .option("endingOffsets", "latest")
-            .option("failOnDataLoss", "true")
-        )
+    def read(self, spark: SparkSession, topic: str, offsets: dict[int, int] | None = None,
+             until: dict[int, int] | None = None) -> DataFrame:
+        reader = spark.read.format("kafka").options(**self.read_options(topic, offsets, until))
         return self._messages(reader.load())
 
+    def read_options(self, topic: str, offsets: dict[int, int] | None = None, until: dict[int, int] | None = None) -> dict[str, str]:
+        """Options of a bounded read: the whole topic, or the named partitions from an offset on, up to ``until`` (not included).
+
+        The connector wants an offset for every partition it reads, so only the named ones are assigned;
+        one that is named on one side only is read from its start, or to its end.
+        """
+        options = {"kafka.bootstrap.servers": self.servers, "failOnDataLoss": "true"}
+        if not offsets and not until:
+            return options | {"subscribe": topic, "startingOffsets": "earliest", "endingOffsets": "latest"}
+        start, end = offsets or {}, until or {}
+        named = sorted(start | end)
+
+        def as_json(given: dict[int, int], otherwise: int) -> str:
+            return json.dumps({topic: {str(p): given.get(p, otherwise) for p in named}})
+
+        return options | {"assign": json.dumps({topic: named}), "startingOffsets": as_json(start, -2), "endingOffsets": as_json(end, -1)}
+
     @staticmethod
     def _messages(kafka: DataFrame) -> DataFrame:
         return kafka.withColumn("key", F.col("key").cast("string")).withColumn(
@@ -150,9 +160,10 @@ def peek(messages: DataFrame, n: int, newest: bool = False) -> DataFrame:
 
 
 def end_offsets(messages: DataFrame) -> DataFrame:
-    """Next offset of every partition and how many messages it holds now."""
+    """Next offset of every partition and how many messages it holds now; messages without offsets (text topics) are counted."""
+    held = F.count(F.lit(1))
     return messages.groupBy("topic", "partition").agg(
-        (F.max("offset") + 1).alias("end_offset"), F.count(F.lit(1)).alias("messages")
+        F.coalesce(F.max("offset") + 1, held).alias("end_offset"), held.alias("messages")
     )
 
 

@@ -1,4 +1,5 @@
 import dataclasses
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -318,6 +319,22 @@ def test_kafka_without_its_package_says_so(spark):
         KafkaTopics("nowhere:9092").stream(spark, "t")
 
 
+def test_totals_of_a_text_topic_count_its_messages(spark, tmp_path):
+    topics = FileTopics(str(tmp_path), format="text")
+    topics.publish(spark.range(7).select(F.col("id").cast("string").alias("value")), "lines")
+    assert [tuple(r) for r in topic_totals(topics.read(spark, "lines")).collect()] == [("lines", 7)]
+
+
+def test_bounded_kafka_reads_name_every_partition_they_read():
+    topics = KafkaTopics("broker:9092")
+    whole = topics.read_options("t")
+    assert whole["subscribe"] == "t" and "assign" not in whole
+    some = topics.read_options("t", {0: 5, 2: 7}, {2: 9, 3: 4})
+    assert "subscribe" not in some and json.loads(some["assign"]) == {"t": [0, 2, 3]}
+    assert json.loads(some["startingOffsets"]) == {"t": {"0": 5, "2": 7, "3": -2}}
+    assert json.loads(some["endingOffsets"]) == {"t": {"0": -1, "2": 9, "3": 4}}
+
+
 def test_compaction_between_failure_and_replay_loses_nothing(spark, pipe, sf_dir, monkeypatch):
     p = pipe("user_events", "user_activity")
     p.topics.publish(S.shared_topic_messages(spark, sf_dir, p.configs, 0), "user-events")
