@@ -1,5 +1,7 @@
 """Approximate nearest neighbours by a permutation index.
 
+Vectors, pivots and queries are centred on the mean of all first: directions that share a large mean would all have
+the same pivots.  What the mean adds to a row's inner product is one number per row, known beforehand.
 Every vector is represented by its ``PREFIX`` nearest of ``PIVOTS`` pivots, in order.  Vectors are dealt
 by hash into blocks; a block's inverted file lists for each pivot the vectors that hold it and at
 which place.  A query walks the lists of its own nearest pivots and adds up, per vector, how far each
@@ -7,10 +9,11 @@ pivot is from its place in the query's order (Spearman's footrule, absent pivots
 behind the prefix).  The ``RERANK`` share of the block that is most likely to be among the best is reranked by
 inner product in double precision on the original vectors, and the best of all blocks are merged.
 
-The footrule sees directions only, the inner product grows with length as well.  So a quarter of that share,
-first by length times distance below the block's median, is scored at once; it gives the score to beat and how
-cosine falls with distance.  The others follow by how far the cosine their distance stands for is above
-the cosine that a vector of their length needs.  With equal lengths that is the order of the footrule.
+The footrule sees directions only, the inner product grows with length and with the share of the mean as well.  The
+rows closest by footrule tell how much cosine a step of it stands for; a quarter of the share, first by the score this
+gives, is scored at once and sets the score to beat.  The others follow by how far the cosine their distance
+stands for is above the cosine that a vector of their length and their share of the mean needs.  With equal lengths and no
+mean that is the order of the footrule.
 
 Pivots are a bounded sample (``PIVOTS`` rows in a fixed random order); every vector is indexed.  Blocks of
 vectors meet blocks of queries, so no task holds more than one of each, and a vector that comes very
@@ -25,6 +28,8 @@ smaller vec_id; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -65,8 +70,30 @@ def matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 def nearest_pivots(rows: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
     """The nearest pivots of each row in order, by inner product of directions; equal ones by number."""
+    return np.argsort(-directions(rows) @ pivots.T, axis=1, kind="stable")[:, :prefix]
+
+
+def directions(rows: np.ndarray) -> np.ndarray:
+    """Rows at length 1; a row without a length stays zero."""
     lengths = np.linalg.norm(rows, axis=1, keepdims=True)
-    return np.argsort(-(rows / lengths) @ pivots.T, axis=1, kind="stable")[:, :prefix]
+    return rows / np.where(lengths > 0, lengths, 1.0)
+
+
+def mean_vector(all_vectors: DataFrame) -> np.ndarray:
+    """The mean of all vectors, to six digits so that the order of adding does not show: sums per task, added by component."""
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = None, 0
+        for batch in batches:
+            if batch.num_rows:
+                part = matrix(batch.column("v")).sum(axis=0)
+                total, n = part if total is None else total + part, n + batch.num_rows
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64())), pa.array([n], pa.int64())], names=["s", "n"])
+
+    parts = all_vectors.select("v").mapInArrow(sums, "s array<double>, n long")
+    by_place = parts.select(F.posexplode("s").alias("place", "part"), "n").groupBy("place").agg((F.sum("part") / F.sum("n")).alias("mean"))
+    return np.round(np.array([r["mean"] for r in by_place.orderBy("place").collect()]), 6)
 
 
 class InvertedFile:
@@ -91,38 +118,50 @@ class InvertedFile:
         return distance
 
 
-def candidates(distance: np.ndarray, rows: np.ndarray, lengths: np.ndarray, query: np.ndarray, apart: np.ndarray,
+def candidates(distance: np.ndarray, rows: np.ndarray, lengths: np.ndarray, bias: np.ndarray, query: np.ndarray, apart: np.ndarray,
                best: int, most: int) -> np.ndarray:
-    """The ``most`` rows likeliest to be among the best by inner product, and all that tie with the last; ``apart``: not the query itself."""
+    """The ``most`` rows likeliest to be among the best by inner product, and all that tie with the last.
+
+    ``rows`` and ``query`` are centred; ``bias`` is what the mean adds to a row's score, known without the query's
+    angle.  ``apart``: not the query itself.
+    """
     nearer = np.median(distance) - distance
-    weight = np.where(apart, lengths * nearer, -np.inf)
+    reach = np.maximum(lengths * np.linalg.norm(query), np.finfo(float).tiny)
+
+    def slope(some: np.ndarray) -> float:
+        """How much cosine a step of the footrule stands for, from some rows."""
+        spread = float(nearer[some] @ nearer[some])
+        return max(float(nearer[some] @ (rows[some] @ query / reach[some])) / spread, 0.0) if spread else 0.0
+
+    closest = np.argpartition(distance, min(4 * best, most) - 1)[:4 * best]
+    guess = np.where(apart, slope(closest[apart[closest]]) * nearer * reach + bias, -np.inf)
     n_early = min(max(2 * best, int(EARLY * most)), most)
-    early = np.argpartition(-weight, n_early - 1)[:n_early]
+    early = np.argpartition(-guess, n_early - 1)[:n_early]
     early = early[apart[early]]
-    scores, reach = rows[early] @ query, lengths * np.linalg.norm(query)
+    scores = rows[early] @ query + bias[early]
     at = max(len(scores) - best, 0)
     to_beat = np.partition(scores, at)[at]
-    spread = float(nearer[early] @ nearer[early])
-    slope = max(float(nearer[early] @ (scores / reach[early])) / spread, 0.0) if spread else 0.0
-    margin = slope * nearer - to_beat / reach
+    margin = slope(early) * nearer - (to_beat - bias) / reach
     margin[early] = np.inf
     return np.flatnonzero(margin >= -np.partition(-margin, most - 1)[most - 1])
 
 
 def search_block(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, pivots: np.ndarray,
-                 best: int, rerank: float, prefix: int) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
+                 best: int, rerank: float, prefix: int, mean: np.ndarray | float = 0.0) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
     """Per query the best rows of one block: query ids, row ids, scores."""
     order = np.argsort(ids, kind="stable")
     ids, rows = ids[order], rows[order]
     prefix = min(prefix, len(pivots))
-    index = InvertedFile(nearest_pivots(rows, pivots, prefix), len(pivots))
+    centred = rows - mean
+    index = InvertedFile(nearest_pivots(centred, pivots, prefix), len(pivots))
     most = min(len(ids), max(LEAST, 4 * best, int(np.ceil(rerank * len(ids)))))
-    lengths = np.linalg.norm(rows, axis=1)
+    lengths = np.linalg.norm(centred, axis=1)
     out: tuple[list, list, list] = ([], [], [])
-    for query_id, query, pivot_order in zip(query_ids, queries, nearest_pivots(queries, pivots, prefix)):
+    bias = centred @ np.broadcast_to(mean, centred.shape[1])
+    for query_id, query, pivot_order in zip(query_ids, queries, nearest_pivots(queries - mean, pivots, prefix)):
         distance = index.footrule(pivot_order)
         if most < len(ids):
-            near = candidates(distance, rows, lengths, query, ids != query_id, best, most)
+            near = candidates(distance, centred, lengths, bias, query - mean, ids != query_id, best, most)
         else:
             near = np.arange(len(ids))
         near = near[ids[near] != query_id]
@@ -146,7 +185,8 @@ def search(table: DataFrame, is_query: Column, best: int = BEST, rerank: float =
     n, n_queries = all_vectors.count(), queries.count()
     pivots = [r["v"] for r in all_vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOTS).collect()]
     heads = np.array(pivots) if pivots else np.zeros((0, 1))
-    heads = heads / np.linalg.norm(heads, axis=1, keepdims=True)
+    mean = mean_vector(all_vectors) if pivots else np.zeros(1)
+    heads = directions(heads - mean)
     blocks, query_blocks = max(1, -(-n // BLOCK)), max(1, -(-n_queries // QUERY_BLOCK))
 
     def dealt(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
@@ -157,7 +197,7 @@ def search(table: DataFrame, is_query: Column, best: int = BEST, rerank: float =
         found: tuple = ([], [], [])
         if left.num_rows and right.num_rows:
             found = search_block(left.column("vec_id").to_numpy(), matrix(left.column("v")), right.column("vec_id").to_numpy(),
-                                 matrix(right.column("v")), heads, best, rerank, prefix)
+                                 matrix(right.column("v")), heads, best, rerank, prefix, mean)
         return pa.table({
             "query_id": pa.array(np.concatenate(found[0]) if found[0] else [], pa.int64()),
             "vec_id": pa.array(np.concatenate(found[1]) if found[1] else [], pa.int64()),
