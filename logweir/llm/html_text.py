@@ -26,6 +26,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -40,10 +41,11 @@ SAMPLE_PAGES = 200
 COMPOSED_PAGES = 700
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style noscript template head title textarea select option datalist svg math iframe object canvas audio video".split())
+HIDDEN = frozenset("script style noscript template head title textarea select option datalist svg iframe".split())
 RAW = frozenset("script style textarea title noscript iframe".split())
 INLINE = frozenset("""a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter q rp rt ruby s samp
-    small span strike strong sub sup time tt u var wbr""".split())
+    small span strike strong sub sup time tt u var wbr
+    math mfrac mi mn mo mover mrow ms mspace msqrt mstyle msub msubsup msup mtext munder munderover semantics""".split())
 CLOSES_P = frozenset("""address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p
     pre section table ul""".split())
 #: A start tag ends the open element of these names, up to the nearest of the second set.
@@ -70,7 +72,8 @@ NAMES = {name: k for k, names in enumerate((
 )) for name in names.split()}
 N_NAMES = max(NAMES.values()) + 1
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+OPENING = re.compile(r"<(?:!--|[!?]|/?[a-zA-Z])")
+NAME_END = re.compile(r"[\s/>]")
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 SENTENCE = re.compile(r"[.!?,;:](?:\s|$)")
@@ -106,9 +109,96 @@ def name_bits(attributes: str) -> int:
     return bits
 
 
+class Marks:
+    """Where the tags of a page end.  Each question is answered from sorted places, so broken pages take no longer."""
+
+    def __init__(self, source: str):
+        self.source = source
+        self.special = [m.start() for m in re.finditer("[>\"']", source)]
+        self.kinds = [source[i] for i in self.special]
+        self.last_end = source.rfind(">")
+        self.after: dict[int, int] = {}  # by number of a special character outside quotes: where its tag ends
+        self.next_same: list[int] | None = None
+        self.name_ends: list[int] | None = None
+
+    def closing(self, at: int) -> int:
+        """The first ``>`` from ``at`` on that no quotation holds, -1 if there is none."""
+        k, passed = bisect_left(self.special, at), []
+        while k not in self.after:
+            if k >= len(self.special):
+                end = -1
+                break
+            if self.kinds[k] == ">":
+                end = self.special[k]
+                break
+            passed.append(k)
+            k = self._partner(k) + 1
+        else:
+            end = self.after[k]
+        for k in passed:
+            self.after[k] = end
+        return end
+
+    def _partner(self, k: int) -> int:
+        """The number of the next quotation mark of the same kind; behind the last place if there is none."""
+        if self.next_same is None:
+            last: dict[str, int] = {}
+            self.next_same = [len(self.special)] * len(self.special)
+            for i in range(len(self.special) - 1, -1, -1):
+                self.next_same[i] = last.get(self.kinds[i], len(self.special))
+                last[self.kinds[i]] = i
+        return self.next_same[k]
+
+    def declaration_end(self, at: int) -> int:
+        """The first ``>`` from ``at`` on, in quotes or not, -1 if there is none."""
+        if at > self.last_end:
+            return -1
+        return self.source.find(">", at)
+
+    def name_end(self, at: int) -> int:
+        """Where the tag name that starts at ``at`` ends."""
+        near = NAME_END.search(self.source, at, at + 64)
+        if near:
+            return near.start()
+        if self.name_ends is None:
+            self.name_ends = [m.start() for m in NAME_END.finditer(self.source)]
+        k = bisect_left(self.name_ends, at)
+        return self.name_ends[k] if k < len(self.name_ends) else len(self.source)
+
+
+class Open:
+    """The open elements, with the places of each name and of those that are no inline elements."""
+
+    def __init__(self) -> None:
+        self.nodes: list[int] = []
+        self.tags: list[str] = []
+        self.of: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, node: int, tag: str) -> None:
+        depth = len(self.nodes)
+        self.nodes.append(node)
+        self.tags.append(tag)
+        self.of.setdefault(tag, []).append(depth)
+        if tag not in INLINE:
+            self.blocks.append(depth)
+
+    def pop(self) -> int:
+        tag = self.tags.pop()
+        self.of[tag].pop()
+        if tag not in INLINE:
+            self.blocks.pop()
+        return self.nodes.pop()
+
+    def innermost(self, names: set[str] | tuple[str, ...]) -> int:
+        """Depth of the innermost element of these names below the root, 0 if there is none."""
+        return max((self.of[n][-1] for n in names if self.of.get(n)), default=0)
+
+
 def parse(source: str) -> Page:
-    page = Page()
-    stack = [page.add("html", -1)]
+    page, marks, stack = Page(), Marks(source), Open()
+    root = page.add("html", -1)
+    stack.push(root, "html")
     at = 0
     pieces: list[str] = []
 
@@ -117,60 +207,68 @@ def parse(source: str) -> Page:
             text = "".join(pieces)
             pieces.clear()
             if text and not text.isspace():
-                page.add("#text", stack[-1], 0, entities.unescape(text))
+                page.add("#text", stack.nodes[-1], 0, entities.unescape(text))
             elif text:  # white space between inline pieces matters when blocks are put together
-                page.add("#space", stack[-1], 0, " ")
+                page.add("#space", stack.nodes[-1], 0, " ")
 
     def close(depth: int) -> None:
-        while len(stack) > depth:
+        while len(stack.nodes) > depth:
             page.last[stack.pop()] = len(page.tag)
 
     length = len(source)
     while at < length:
-        found = TAG.search(source, at)
+        found = OPENING.search(source, at)
         if found is None:
             pieces.append(source[at:])
             break
-        if found.start() > at:
-            pieces.append(source[at:found.start()])
-        at = found.end()
-        name = found.group(2)
-        if name is None:
+        start = found.start()
+        if start > at:
+            pieces.append(source[at:start])
+        if found.group() == "<!--":
+            end = source.find("-->", start + 4)
+            at = length if end < 0 else end + 3
+            continue
+        if found.group() in ("<!", "<?"):
+            end = marks.declaration_end(start)
+        else:
+            ending = source[start + 1] == "/"
+            begin = start + 2 if ending else start + 1
+            name_end = marks.name_end(begin)
+            end = marks.closing(name_end)
+        if end < 0:  # never closed: text
+            pieces.append(source[start:start + 1])
+            at = start + 1
+            continue
+        at = end + 1
+        if found.group() in ("<!", "<?"):
             continue
         flush()
-        name = name.lower()
-        if found.group(1):
-            for depth in range(len(stack) - 1, 0, -1):
-                if page.tag[stack[depth]] == name:
-                    close(depth)
-                    break
-                if name in INLINE and page.tag[stack[depth]] not in INLINE:
-                    break
+        name, attributes = source[begin:name_end].lower(), source[name_end:end]
+        if ending:
+            depth = stack.innermost((name,))
+            if depth and (name not in INLINE or depth > stack.blocks[-1]):
+                close(depth)
             continue
         if name in ("html", "body"):
-            page.names[stack[0]] |= name_bits(found.group(3))
+            page.names[root] |= name_bits(attributes)
             continue
         if name in CLOSES_P:
-            for depth in range(len(stack) - 1, 0, -1):
-                if page.tag[stack[depth]] == "p":
-                    close(depth)
-                    break
-                if page.tag[stack[depth]] not in INLINE:
-                    break
+            depth = stack.innermost(("p",))
+            if depth and depth == stack.blocks[-1]:
+                close(depth)
         elif name in ENDS:
             ended, bound = ENDS[name]
-            for depth in range(len(stack) - 1, 0, -1):
-                if page.tag[stack[depth]] in ended:
-                    close(depth)
-                    break
-                if page.tag[stack[depth]] in bound:
-                    break
-        node = page.add(name, stack[-1], name_bits(found.group(3)))
-        if name in RAW and not found.group(3).endswith("/"):
-            end = re.compile(f"</{name}[^>]*>", re.I).search(source, at)
-            at = end.end() if end else length
-        elif name not in VOID and not found.group(3).endswith("/"):
-            stack.append(node)
+            depth = stack.innermost(ended)
+            if depth > stack.innermost(bound):
+                close(depth)
+        node = page.add(name, stack.nodes[-1], name_bits(attributes))
+        if name in RAW and not attributes.endswith("/"):
+            # The first end tag counts; where that one is never closed, no later one is.
+            tag = re.compile(f"</{name}", re.I).search(source, at)
+            end = source.find(">", tag.end()) if tag else -1
+            at = length if end < 0 else end + 1
+        elif name not in VOID and not attributes.endswith("/"):
+            stack.push(node, name)
     flush()
     close(0)
     return page
