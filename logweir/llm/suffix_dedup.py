@@ -48,7 +48,7 @@ HOT = 4_096  # surroundings of one anchor in a bucket, above which it is split b
 _U = np.uint64
 _MUL = 0x9E3779B97F4A7C15
 _SYMBOLS = np.random.default_rng(100).integers(0, 1 << 64, 257, dtype=np.uint64)  # 256 stands for "no byte"
-_LAST = (1 << 63) - 1
+_UNNAMED = 1 << 62
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -106,7 +106,12 @@ def suffixes(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _identity(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
-    return [F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)).alias("doc"),
+    """The document's number and 31 bits of its text, which tell rows of one id apart.
+
+    A null id is numbered by 62 more bits of its text, from ``_UNNAMED`` up, so 93 bits tell such rows apart.
+    """
+    unnamed = F.xxhash64(F.lit("unnamed"), text).bitwiseAND(F.lit(_UNNAMED - 1)) + F.lit(_UNNAMED)
+    return [F.coalesce(F.col(doc_id).cast("long"), unnamed).alias("doc"),
             F.coalesce(F.xxhash64(text).bitwiseAND(F.lit(0x7FFFFFFF)), F.lit(0)).cast("int").alias("tk")]
 
 
