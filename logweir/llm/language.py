@@ -38,15 +38,16 @@ RATE = 0.01
 PIECE = 64
 KEPT_RUNS = 300_000
 LETTERS = re.compile(r"[^\W\d_]+")
-HAS_LETTER = re.compile(r"[^\W\d_]")
 
 
 def runs(text: str) -> list[bytes]:
     """Runs of letters as lower-case bytes, long ones in pieces."""
     out = []
-    for run in LETTERS.findall(text.lower()):
-        data = run.encode()
-        out += [data] if len(data) <= PIECE else [data[i:i + PIECE] for i in range(0, len(data), PIECE)]
+    for found in LETTERS.findall(text.lower()):
+        # The pattern takes signs such as superscripts and fractions for letters; they only divide runs.
+        for run in (found,) if found.isalpha() else "".join(c if c.isalpha() else " " for c in found).split():
+            data = run.encode()
+            out += [data] if len(data) <= PIECE else [data[i:i + PIECE] for i in range(0, len(data), PIECE)]
     return out
 
 
