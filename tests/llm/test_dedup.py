@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from compare import difference, oracle
 from conftest_llm import CLASHES
+from pyspark.sql import functions as F
 
 from logweir.llm import components, near_dup, suffix_dedup
 from logweir.llm.queries import ORACLES, QUERIES
@@ -237,6 +238,17 @@ def test_equal_rows_are_one_document(frame):
     assert len(out) == 16 and all((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id] for r in out)
 
 
+def test_null_ids_are_told_apart_by_more_than_31_bits(spark, frame):
+    """Texts without an id whose 31-bit keys agree are different documents; ids there are come before them."""
+    many = spark.range(400_000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text number "), "id").alias("text"))
+    keyed = many.select("text", *suffix_dedup._identity())
+    counts = keyed.agg(F.countDistinct("tk"), F.countDistinct("doc"), F.min("doc")).first()
+    assert counts[0] < 400_000 == counts[1] and counts[2] >= 1 << 62
+    pair = keyed.groupBy("tk").agg(F.array_sort(F.collect_list("text")).alias("t")).filter("size(t) = 2").first().t
+    named = frame([(None, pair[0]), (1 << 61, pair[0]), (None, pair[1])]).select("doc_id", *suffix_dedup._identity()).collect()
+    assert named[0].tk == named[2].tk and named[0].doc != named[2].doc and min(named[0].doc, named[2].doc) > named[1].doc
+
+
 def test_multikey_order_sorts_like_tuples():
     rng = np.random.default_rng(2)
     columns = [rng.integers(0, 3, 500).astype(np.uint64) for _ in range(5)]

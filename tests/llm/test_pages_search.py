@@ -1,5 +1,6 @@
 import html
 import random
+import time
 
 import numpy as np
 import pytest
@@ -157,6 +158,70 @@ def test_recall_on_uneven_lengths(spread):
     assert np.mean(shares) >= 0.95
 
 
+def shifted(kind, n=8_192):
+    rng = np.random.default_rng(9)
+    rows = neighbours.directions(rng.normal(size=(n, 64)))
+    if kind == "clustered":
+        heart = neighbours.directions(rng.normal(size=(40, 64)))
+        return neighbours.directions(heart[rng.integers(0, 40, n)] + 0.6 * rows) + 0.5
+    return rows + 0.5 if kind == "raised" else neighbours.directions(rows + neighbours.directions(rng.normal(size=(1, 64))))
+
+
+@pytest.mark.parametrize("kind", ["raised", "common direction", "clustered"])
+def test_recall_on_vectors_with_a_common_mean(kind):
+    rows = shifted(kind)
+    mean, ids = rows.mean(axis=0), np.arange(len(rows))
+    asked = ids[::80]
+    heads = neighbours.directions(rows[:neighbours.PIVOTS] - mean)
+    got = neighbours.search_block(ids, rows, asked, rows[asked], heads, 20, neighbours.RERANK, neighbours.PREFIX, mean)
+    scores = rows @ rows[asked].T
+    scores[asked, np.arange(len(asked))] = -np.inf
+    best = np.argsort(-scores, axis=0)[:20]
+    assert np.mean([len(set(best[:, k].tolist()) & set(g.tolist())) / 20 for k, g in enumerate(got[1])]) >= 0.95
+
+
+def test_mean_vector_and_search_on_shifted_vectors(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 1_500)
+    monkeypatch.setattr(neighbours, "LEAST", 100)
+    rows = [(i, v.tolist()) for i, v in enumerate(shifted("raised", 3_000))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert np.allclose(neighbours.mean_vector(neighbours.vectors(df)), np.mean([v for _, v in rows], axis=0), atol=1e-6)
+    got, want = found(df), brute(rows, 20)
+    assert np.mean([len({i for _, i, _ in got[q]} & set(want[q])) / 20 for q in want]) >= 0.95
+
+
+@pytest.mark.parametrize("unit", ["<p class='x ", "<p ", "<!", "<script>x</script", "<aaaa", "<i><b></i", "<p a=\"'>", "</i>"])
+def test_long_broken_pages_take_linear_time(unit):
+    """A quadratic parser takes minutes on each of these."""
+    page = unit * (1_000_000 // len(unit))
+    began = time.process_time()
+    html_text.parse(page)
+    assert time.process_time() - began < 10
+
+
+def test_tags_of_broken_pages():
+    def seen(source):
+        page = html_text.parse(source)
+        return list(zip(page.tag, page.text))[1:]
+
+    assert seen("<p class='x>one</p>") == [("#text", "<p class='x>one")]
+    assert seen("a<b title='>'>c</b>") == [("#text", "a"), ("b", ""), ("#text", "c")]
+    assert seen("1 < 2 <!-- > --> 3 <? x > 4") == [("#text", "1 < 2  3  4")]
+    assert seen("<script>a < b</script x>c") == [("script", ""), ("#text", "c")]
+    assert seen("<i><div></i>x</div></i>y")[-1] == ("#text", "y")
+    deep = html_text.parse("<i><div></i>x")
+    assert [deep.tag[deep.parent[k]] for k, t in enumerate(deep.tag) if t == "#text"] == ["div"]
+
+
+def test_formulas_are_text():
+    sentence = "The river rose by several metres during the night, and the old bridge near the mill was closed to all carts. "
+    article = f"<article><h1>Flood at the mill</h1><p>{sentence * 3}</p><p>{sentence}<math><mi>x</mi><mo>=</mo><mn>2</mn></math> it was.</p></article>"
+    page = html_text.parse(article)
+    assert not {"math", "mi", "object", "canvas"} & html_text.HIDDEN
+    assert {"math", "mi", "mo", "mn"} <= html_text.INLINE
+    assert [page.tag[page.parent[k]] for k, t in enumerate(page.text) if t in ("x", "=", "2")] == ["mi", "mo", "mn"]
+
+
 def test_search_edge_cases(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.5, 0.5]), (20, [0.0, -2.0]), (4, None), (5, [0.0, 0.0]), (6, [nan, 1.0]),

@@ -179,3 +179,9 @@ def test_nothing_to_learn_from(frame):
     rows = [(1, "abc"), (2, None)]
     assert {(r.lang_pred, r.score) for r in language.predict(frame(rows), language.learn(frame(rows))).collect()} == {("und", 0.0)}
     assert language.predict(frame([]), None).filter(F.col("doc_id") > 0).count() == 0
+
+
+def test_signs_are_no_letters():
+    """Superscripts, fractions and circled digits count as numbers: they divide runs and make no text a language's."""
+    assert language.runs("² ½ ② _1") == [] and language.runs("x²y Ab") == [b"x", b"y", b"ab"]
+    assert language.runs("ªº ǅ ヂ") == ["ªº".encode(), "ǆ".encode(), "ヂ".encode()]
