@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from logweir.functions import envelope as E
-from logweir.operators import history, quality, reports as R, tables
+from logweir.operators import drift, history, quality, reports as R, tables
 from logweir.plans import log_types, staging as S
 from logweir.plans.flagship import error_rate_after_ingest
 from logweir.plans.registry import query
@@ -309,6 +309,15 @@ def _(spark, sf):
     )
 
 
+@query("rte5_reject_origin", f"""
+    SELECT 'user-events' AS topic, reason, count(*) AS messages, count(*) AS found_at_origin
+    FROM {SHARED_SQL} WHERE reason IS NOT NULL GROUP BY 2""")
+def _(spark, sf):
+    """Every quarantined message is found again at the partition and offset noted with it."""
+    stage = S.warehouse(spark, sf)
+    return quality.origin_check(stage.quarantine, stage.topics.read(spark, "user-events"))
+
+
 @query("rte5_reject_counts", f"SELECT coalesce(reason, 'valid') AS reason, count(*) AS messages FROM {SHARED_SQL} GROUP BY 1")
 def _(spark, sf):
     stage = S.warehouse(spark, sf)
@@ -359,6 +368,17 @@ def _(spark, sf):
     return rows.select("timestamp", "event_date", "user_id", "event_type", "country_code", "session_id")
 
 
+@query("chk7_drift", """
+    SELECT name AS field, 'string' AS config_type, 'string' AS table_type, count(*) AS row_count,
+           count(*) FILTER (log_ts < TIMESTAMP '2024-01-16 00:00:00') AS rows_lacking, CAST(0 AS BIGINT) AS rows_other_type
+    FROM demo_events, (VALUES ('country_code'), ('session_id')) f(name) GROUP BY name""")
+def _(spark, sf):
+    """Fields that files lack or hold with another type, from footers alone: those the first run did not know."""
+    stage = S.evolved(spark, sf)
+    found = drift.drift(spark, stage.configs["demo_events"]).where("rows_lacking + rows_other_type > 0")
+    return found.select("field", "config_type", "table_type", "row_count", "rows_lacking", "rows_other_type")
+
+
 @query("top2_first_ingested", """
     SELECT user_id, event_type, country_code, session_id, log_ts AS "timestamp" FROM demo_events
     WHERE log_ts < TIMESTAMP '2024-01-16 00:00:00' ORDER BY log_ts LIMIT 6""")

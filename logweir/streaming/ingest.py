@@ -43,15 +43,16 @@ class IngestRun:
 
 
 def quarantine_config(database: str) -> LogConfig:
-    """Table of messages not accepted; partitioned by the query that met them and by day."""
-    names = ["source", "key", "value", "_log_type", "_version", "reason"]
+    """Table of messages not accepted, with their place in the topic; partitioned by the query that met them and by day."""
+    names = ["source", "key", "value", "_log_type", "_version", "reason", "topic", "topic_partition"]
+    origin = (Field("topic_offset", "long", required=False), Field("produced_at", "timestamp", required=False))
     return LogConfig(
         name="Quarantine",
         log_type="quarantine",
         topic="",
         table=f"{database}.quarantine",
         partition_by=("source", "_ingestion_date"),
-        fields=tuple(Field(n, "string", required=False) for n in names),
+        fields=(*(Field(n, "string", required=False) for n in names), *origin),
     )
 
 
@@ -209,4 +210,7 @@ class _BatchWriter:
         return classified
 
     def _rejects(self, classified: DataFrame) -> DataFrame:
-        return rejects(classified, INGESTED).withColumn("source", F.lit(self.source))
+        whole = rejects(classified, ("topic", "partition", "offset", "timestamp", *INGESTED))
+        return whole.withColumns({
+            "source": F.lit(self.source), "topic_partition": F.col("partition").cast("string"), "topic_offset": F.col("offset"),
+            "produced_at": F.col("timestamp")}).drop("partition", "offset", "timestamp")
