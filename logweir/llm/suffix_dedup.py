@@ -18,7 +18,7 @@ alone, so equal 100-byte strings have an anchor at the same offset, and one byte
    suffixes are dealt out by the hash of each single 100-byte string instead.
 3. Repeats are gathered per document and cut out.
 
-Documents are ordered by doc_id, then by a hash of the text; null ids come last.  Defined cases: null and
+Documents are ordered by doc_id, then by a hash of the text; null ids come behind all ids below 2^62.  Defined cases: null and
 empty texts have 0 bytes and nothing removed; rows equal in id and text are one document, and each gets
 its result; texts under 100 bytes lose nothing; an empty table gives no rows; extra columns are ignored.
 """
