@@ -27,6 +27,8 @@ JSON_OUT = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
+# Why a message is not accepted, in the order the reasons are tried.
+REASONS = ("null_payload", "malformed", "no_envelope", "unknown_type", "bad_type", "missing_required")
 JSON_IN = {"columnNameOfCorruptRecord": CORRUPT}
 
 # The envelope alone.  `data` keeps one unused child, so the parser skips the business fields

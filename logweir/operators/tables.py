@@ -24,7 +24,7 @@ import uuid
 from collections.abc import Callable
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from logweir.functions.envelope import with_ingestion_time
 from logweir.functions.types import FIELD_TYPES, WIDENINGS, record_schema, table_ddl, widens
@@ -351,12 +351,12 @@ def _any_of(rows: DataFrame, groups: list[tuple]) -> Column:
 
 
 def append_batch(df: DataFrame, config: LogConfig, batch_id: int | None = None, cluster: bool = True,
-                 max_records_per_file: int = 0) -> None:
+                 max_records_per_file: int = 0, figures: dict[str, Column] | None = None) -> dict[str, int]:
     """Write one batch of rows to the table; the same batch again replaces itself.
 
     The batch number is the rows' ingestion time unless given.  With a number given, whatever an earlier
     attempt of the batch left is dropped first, also in partitions that this attempt does not write and
-    in compactions that have merged it since.
+    in compactions that have merged it since.  ``figures``: see ``write_rows``.
     """
     number = F.unix_millis("_ingestion_timestamp") if batch_id is None else F.lit(batch_id).cast("long")
     if batch_id is not None:
@@ -364,15 +364,18 @@ def append_batch(df: DataFrame, config: LogConfig, batch_id: int | None = None,
         drop_partitions(spark, config.table, list_partitions(spark, config.table, 2 * batch_id))
         _take_out(spark, config, batch_id)
     rows = df.withColumn("_batch_id", number).withColumn(COMMIT, F.col("_batch_id") * 2)
-    write_rows(rows, config, cluster, max_records_per_file)
+    return write_rows(rows, config, cluster, max_records_per_file, figures)
 
 
-def write_rows(df: DataFrame, config: LogConfig, cluster: bool = True, max_records_per_file: int = 0) -> None:
+def write_rows(df: DataFrame, config: LogConfig, cluster: bool = True, max_records_per_file: int = 0,
+               figures: dict[str, Column] | None = None) -> dict[str, int]:
     """Overwrite the partitions the rows belong to, ``_commit`` included.
 
     ``cluster`` gathers rows of a table partition into few files; the rebalance hint lets AQE
     cut a hot partition into several tasks and join small ones.  Without it each task writes
     its own file per partition and nothing is shuffled.  Rows are sorted inside each file.
+
+    ``figures`` are aggregates of the rows, observed by the writing tasks themselves, and returned.
     """
     spark = df.sparkSession
     target = spark.table(config.table).schema
@@ -383,11 +386,15 @@ def write_rows(df: DataFrame, config: LogConfig, cluster: bool = True, max_recor
     parts = [f"`{c}`" for c in config.partition_by]
     if cluster:
         rows = rows.hint("rebalance", *[F.col(c) for c in parts]) if parts else rows.hint("rebalance")
+    watch = Observation() if figures else None
+    if watch:
+        rows = rows.observe(watch, *[c.alias(name) for name, c in figures.items()])
     order = [*parts, f"`{COMMIT}`", *[f"`{c}`" for c in config.sort_by if c in have]]
     rows = rows.sortWithinPartitions(*order)
     settings = {**WRITE_SETTINGS, "spark.sql.files.maxRecordsPerFile": str(max_records_per_file)}
     with session_conf(spark, settings):
         rows.write.mode("overwrite").insertInto(config.table)
+    return dict(watch.get) if watch else {}
 
 
 # --- upkeep -----------------------------------------------------------------------------

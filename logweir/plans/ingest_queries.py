@@ -15,7 +15,8 @@ from logweir.plans.registry import query
 from logweir.plans.staging import DAMAGE_SQL
 from logweir.plans.views import view
 from logweir.sources.configs import collect_configs, enabled_configs, load_configs, with_defaults
-from logweir.sources.topics import replay, topic_totals
+from logweir.sources.topics import replay, totals
+from logweir.streaming import ledger, progress
 
 USER_EVENTS = ["timestamp", "event_date", "user_id", "session_id", "event_type", "page_url", "device_type",
                "duration_ms"]
@@ -113,9 +114,15 @@ def _(spark, sf):
     UNION ALL SELECT 'api-metrics', count(*) FROM api_metrics""")
 def _(spark, sf):
     stage = S.warehouse(spark, sf)
-    return topic_totals(stage.topics.read(spark, "user-events")).unionAll(
-        topic_totals(stage.topics.read(spark, "api-metrics"))
-    )
+    return totals(stage.topics.ends(spark, "user-events")).unionAll(totals(stage.topics.ends(spark, "api-metrics")))
+
+
+@query("src5_recorded_totals", f"""
+    SELECT 'user-events' AS topic, count(*) AS total_messages, count(*) AS read_messages FROM {SHARED_SQL}
+    UNION ALL SELECT 'api-metrics', count(*), count(*) FROM api_metrics""")
+def _(spark, sf):
+    """As the streams' own progress reports tell, without the topic."""
+    return progress.recorded_totals(S.warehouse(spark, sf).progress)
 
 
 @query("src6_table_scan", f"SELECT {USER_EVENTS_SQL} FROM user_events WHERE {DAMAGE_SQL} IS NULL")
@@ -351,6 +358,17 @@ def _(spark, sf):
     return S.warehouse(spark, sf).progress.groupBy("query").agg(F.sum("input_rows").alias("input_rows"))
 
 
+@query("str6_rows_and_rejects", f"""
+    SELECT 'user-events' AS source, coalesce(reason, log_type) AS what, count(*) AS messages FROM {SHARED_SQL} GROUP BY 2
+    UNION ALL SELECT 'api-metrics', 'api_metrics', count(*) FROM api_metrics""")
+def _(spark, sf):
+    """Rows per type and rejects per reason, as the writing tasks counted them."""
+    stored = S.warehouse(spark, sf).ledger.batches(spark)
+    good = stored.where("log_type <> 'quarantine'").groupBy("source", F.col("log_type").alias("what")).agg(
+        F.sum("rows").alias("messages"))
+    return good.unionAll(ledger.reject_counts(stored))
+
+
 @query("str7_restart_with_new_fields", """
     SELECT count(*) AS row_count, count(country_code) AS with_country
     FROM demo_events GROUP BY CASE WHEN log_ts < TIMESTAMP '2024-01-16 00:00:00' THEN 0 ELSE 1 END""")
@@ -413,7 +431,8 @@ BATCHES = """SELECT *, CASE WHEN log_ts < TIMESTAMP '2024-01-16 00:00:00' THEN 0
     SELECT count(*) AS added_records, 'append' AS operation, TRUE AS numbered_by_time
     FROM ({BATCHES}) GROUP BY batch""")
 def _(spark, sf):
-    out = history.snapshots(S.warehouse(spark, sf).table("api_metrics"))
+    stage = S.warehouse(spark, sf)
+    out = ledger.snapshots(stage.ledger.batches(spark), stage.configs["api_metrics"].table)
     by_time = F.col("_batch_id") == F.unix_millis("committed_at")
     return out.select("added_records", "operation", by_time.alias("numbered_by_time"))
 
@@ -473,8 +492,5 @@ def _(spark, sf):
 def _(spark, sf):
     """Messages per topic against rows in its tables and in quarantine: nothing may be missing."""
     stage = S.warehouse(spark, sf)
-    totals = [topic_totals(stage.topics.read(spark, t)) for t in ("user-events", "api-metrics")]
-    loaded = [stage.table(t).select(F.lit(c.topic).alias("topic")) for t, c in stage.configs.items()]
-    loaded.append(stage.quarantine.select(F.col("source").alias("topic")))
-    rows = reduce(DataFrame.unionAll, loaded).groupBy("topic").agg(F.count(F.lit(1)).alias("rows"))
-    return quality.health(totals[0].unionAll(totals[1]), rows)
+    held = [totals(stage.topics.ends(spark, t)) for t in ("user-events", "api-metrics")]
+    return quality.health(held[0].unionAll(held[1]), ledger.loaded(stage.ledger.batches(spark)))

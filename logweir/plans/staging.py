@@ -20,6 +20,7 @@ from logweir.session import delete_paths, shared_dir
 from logweir.sources.configs import LogConfig, collect_configs, load_configs
 from logweir.sources.topics import FileTopics
 from logweir.streaming.ingest import start_ingest
+from logweir.streaming.ledger import Ledger
 from logweir.streaming.progress import ProgressLog, progress
 
 # Messages before this moment go into the first batch, the rest into the second.
@@ -46,6 +47,7 @@ class Stage:
     configs: dict[str, LogConfig]
     topics: FileTopics
     progress: DataFrame | None = None
+    ledger: Ledger | None = None
 
     def table(self, log_type: str) -> DataFrame:
         return tables.read_table(self.spark, self.configs[log_type].table)
@@ -152,7 +154,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Stage:
         run.finish()
         log.wait_for(run.queries)
     log.close()
-    stage.progress = progress(spark, f"{stage.root}/progress")
+    stage.progress, stage.ledger = progress(spark, f"{stage.root}/progress"), run.ledger
     return stage
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logweir.functions.envelope import (
+    REASONS,
     classify,
     decode,
     null_rows,
@@ -19,6 +20,7 @@ from logweir.functions.envelope import (
 )
 from logweir.operators import tables
 from logweir.sources.configs import Field, LogConfig
+from logweir.streaming.ledger import Ledger
 
 INGESTED = ("_ingestion_timestamp", "_ingestion_date")
 MODES = ("quarantine", "null_row", "drop")
@@ -26,10 +28,11 @@ MODES = ("quarantine", "null_row", "drop")
 
 @dataclasses.dataclass
 class IngestRun:
-    """Started queries, and the types that could not be started with the reason."""
+    """Started queries, the types that could not be started with the reason, and the record of batches."""
 
     queries: list[StreamingQuery]
     failures: dict[str, str]
+    ledger: Ledger
 
     def finish(self) -> None:
         """Wait for bounded queries; the first failure is raised."""
@@ -83,6 +86,9 @@ def start_ingest(
     ``repartition``: deal each micro-batch over so many tasks before it is parsed, always; for topics with
     few, large partitions.  Without it a batch is parsed in the tasks it is read in.
 
+    Rows per table and rejects per reason of every batch are recorded in ``_batches`` of the warehouse
+    (``IngestRun.ledger``), counted by the writing tasks.  Messages left out (``"drop"``) are not counted.
+
     A type that cannot be set up is reported with the reason.  It does not stop other topics, but no
     query of its own topic starts that would move past its messages: with one query per topic the
     whole topic waits, with one query per type only that type does.  Once the config is mended, the next
@@ -114,7 +120,7 @@ def start_ingest(
     for config in ready:
         by_topic.setdefault(config.topic, []).append(config)
     held = {topic: sorted({c.log_type for c in configs if c.topic == topic and c.log_type in failures}) for topic in by_topic}
-    queries = []
+    queries, ledger = [], Ledger(f"{warehouse}/_batches")
     for topic, members in by_topic.items():
         if held[topic] and fan_out == "topic":
             failures |= {c.log_type: f"topic {topic} waits for {', '.join(held[topic])}" for c in members if c.log_type not in failures}
@@ -128,6 +134,8 @@ def start_ingest(
                 others=(*[c.log_type for c in members if c not in group], *held[topic]),
                 repartition=repartition,
                 lead=number == 0,
+                ledger=ledger,
+                topic=topic,
                 on_invalid=on_invalid,
                 route=route,
                 cluster=cluster,
@@ -147,7 +155,7 @@ def start_ingest(
                 )
             except Exception as error:  # nor one topic that cannot be read
                 failures |= {c.log_type: str(error) for c in group}
-    return IngestRun(queries, failures)
+    return IngestRun(queries, failures, ledger)
 
 
 @dataclasses.dataclass
@@ -166,6 +174,8 @@ class _BatchWriter:
     route: bool
     quarantine: LogConfig
     cluster: bool
+    ledger: Ledger
+    topic: str
     repartition: int | None = None
 
     def __call__(self, batch: DataFrame, epoch: int) -> None:
@@ -185,6 +195,7 @@ class _BatchWriter:
             batch.unpersist()
 
     def _write(self, batch: DataFrame, number: int) -> None:
+        held, written = {"rows": F.count(F.lit(1))}, []
         for config in self.configs:
             if not self.route:
                 rows = decode(batch, config, INGESTED)
@@ -192,9 +203,14 @@ class _BatchWriter:
                 rows = records(batch, config, INGESTED)
                 if self.on_invalid == "null_row":
                     rows = rows.unionByName(null_rows(batch, config, INGESTED))
-            tables.append_batch(rows, config, batch_id=number, cluster=self.cluster)
+            counts = tables.append_batch(rows, config, batch_id=number, cluster=self.cluster, figures=held)
+            written.append({"table_name": config.table, "log_type": config.log_type, "rows": counts["rows"]})
         if self.route and self.on_invalid == "quarantine":
-            tables.append_batch(self._rejects(batch), self.quarantine, batch_id=number)
+            why = {r: F.count_if(F.col("reason") == r) for r in REASONS}
+            counts = tables.append_batch(self._rejects(batch), self.quarantine, batch_id=number, figures=held | why)
+            written.append({"table_name": self.quarantine.table, "log_type": self.quarantine.log_type, "rows": counts["rows"],
+                            "rejects": {r: counts[r] for r in REASONS}})
+        self.ledger.record(batch.sparkSession, self.source, self.topic, number, written)
 
     def _attributed(self, classified: DataFrame) -> DataFrame:
         """Of a topic other queries read too, only this query's share of the messages.
