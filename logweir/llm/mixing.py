@@ -8,7 +8,8 @@ among the others, until none is above.  That end state is the water level w with
 Within a source every document gets a hash-random key (MD5 of its id).  Keys are dealt into ranges,
 each range's words are added up, a prefix sum over ranges gives where a range starts, and a prefix
 sum inside each range gives where each document starts.  No task sees more than one range.  A range is
-a run of hash prefixes, so a hot source is just more ranges; their number follows the row count.
+a run of hash prefixes, so a hot source is just more ranges; their number follows the row count and is
+256 at least.  The number changes no result.
 
 A budget of ``b`` words over a source of ``s`` words is ``b div s`` whole epochs and a last one that
 is cut after exactly ``b mod s`` words, inside a document if need be.
@@ -29,6 +30,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_EPOCHS = 2
 ROWS_PER_RANGE = 50_000
+LEAST_BITS = 8
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
@@ -61,9 +63,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, rows_per_range: int
         F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).cast("binary")).alias("key"),
     ))
     per_source = cut(targets(sizes, weights))
-    # Ranges of the first 24 bits of the key; a power of two of them, as many as the largest source needs.
+    # Ranges of the first 24 bits of the key; a power of two of them, 256 or as many as the largest source needs.
     most = per_source.agg(F.max("n_docs")).first()[0] or 0
-    bits = max(0, min(24, (most // rows_per_range).bit_length()))
+    bits = max(LEAST_BITS, min(24, (most // rows_per_range).bit_length()))
     keyed = sizes.withColumn("part", F.shiftright(F.conv(F.substring("key", 1, 6), 16, 10).cast("int"), 24 - bits))
     by_part = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (keyed.groupBy("source", "part").agg(F.sum("size").alias("words"))
