@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -16,7 +17,7 @@ from logweir.plans.staging import DAMAGE_SQL
 from logweir.plans.views import view
 from logweir.sources.configs import collect_configs, enabled_configs, load_configs, with_defaults
 from logweir.sources.topics import replay, totals
-from logweir.streaming import ledger, progress
+from logweir.streaming import ledger, progress, rates
 
 USER_EVENTS = ["timestamp", "event_date", "user_id", "session_id", "event_type", "page_url", "device_type",
                "duration_ms"]
@@ -369,6 +370,20 @@ def _(spark, sf):
     return good.unionAll(ledger.reject_counts(stored))
 
 
+@query("agg19_rates_while_streaming", f"""
+    SELECT log_type AS _log_type, date_trunc('hour', log_ts) AS period, count(*) AS messages, count(reason) AS invalid
+    FROM {SHARED_SQL} WHERE reason IS NULL OR reason IN ('bad_type', 'missing_required') GROUP BY 1, 2""")
+def _(spark, sf):
+    """Several micro-batches, each with messages of days that earlier ones had; the rest have no time of their own."""
+    stage = S.warehouse(spark, sf)
+    source = dataclasses.replace(stage.topics, max_files_per_trigger=8).stream(spark, "user-events")
+    configs = [stage.configs["user_events"], stage.configs["user_activity"]]
+    folder = f"{stage.root}/rates_{uuid.uuid4().hex[:12]}"
+    live = rates.rates(rates.timed(source, configs), "1 hour", "40 days")
+    rates.start_rates(live, f"{folder}/figures", f"{folder}/state", S.NOW).awaitTermination()
+    return rates.read_rates(spark, f"{folder}/figures")
+
+
 @query("str7_restart_with_new_fields", """
     SELECT count(*) AS row_count, count(country_code) AS with_country
     FROM demo_events GROUP BY CASE WHEN log_ts < TIMESTAMP '2024-01-16 00:00:00' THEN 0 ELSE 1 END""")
