@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logweir.functions.envelope import classify, record_column
-from logweir.session import delete_paths, list_names, path_exists
+from logweir.session import delete_paths, list_names, path_exists, session_conf
 
 _DDL = "_log_type string, period timestamp, messages long, invalid long"
 _KEYS = ["_log_type", "period"]
@@ -50,26 +50,33 @@ class _Updates:
         spark = changed.sparkSession
         if epoch and epoch % self.fold_every == 0:
             self._fold(spark, epoch - 1)
-        changed.coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/{_name('batch', epoch)}")
+        # A shuffle, as coalesce would draw all tasks that hold the state into the writing one.
+        changed.repartition(1).write.mode("overwrite").parquet(f"{self.folder}/{_name('batch', epoch)}")
 
     def _fold(self, spark: SparkSession, upto: int) -> None:
         """One file of all figures up to a batch; what it replaces is deleted only when it is whole."""
         base = _name("base", upto)
         if base not in [name for name, _, _ in _parts(spark, self.folder)]:
-            read_rates(spark, self.folder).coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/{base}")
+            read_rates(spark, self.folder).repartition(1).write.mode("overwrite").parquet(f"{self.folder}/{base}")
         old = [name for name, _, number in _parts(spark, self.folder) if number <= upto and name != base]
         delete_paths(spark, [f"{self.folder}/{name}" for name in old])
 
 
-def start_rates(found: DataFrame, folder: str, checkpoint: str, trigger: dict | None = None, fold_every: int = 100) -> StreamingQuery:
-    """Keep the figures of ``rates`` over a stream in ``folder``.  A batch that runs again replaces its own updates."""
-    return (
+def start_rates(found: DataFrame, folder: str, checkpoint: str, trigger: dict | None = None, fold_every: int = 100,
+                state_tasks: int = 8) -> StreamingQuery:
+    """Keep the figures of ``rates`` over a stream in ``folder``.  A batch that runs again replaces its own updates.
+
+    The state lies in ``state_tasks`` parts: each is loaded and stored in every batch, and only counts reach
+    them.  A checkpoint keeps the number it was started with.
+    """
+    writer = (
         found.writeStream.outputMode("update")
         .trigger(**(trigger or {"processingTime": "1 minute"}))
         .option("checkpointLocation", checkpoint)
         .foreachBatch(_Updates(folder.rstrip("/"), fold_every))
-        .start()
     )
+    with session_conf(found.sparkSession, {"spark.sql.shuffle.partitions": str(state_tasks)}):
+        return writer.start()
 
 
 def read_rates(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,7 +4,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from logweir.session import list_names
+from logweir.plans import staging
+from logweir.session import list_names, session_conf
+from logweir.sources.topics import FileTopics
 from logweir.streaming import rates as L
 
 DDL = "_log_type string, event_time timestamp, _reason string"
@@ -77,3 +79,24 @@ def test_a_batch_that_runs_again_and_a_half_written_fold(spark, tmp_path):
         write(two.withColumn("messages", F.lit(6).cast("long")), 2)
         assert figures(L.read_rates(spark, f"{tmp_path}/out")) == {("a", START): (6, 1)}
     assert list_names(spark, f"{tmp_path}/out") == ["base-000000000001", "batch-000000000002"]
+
+
+def test_state_has_tasks_of_its_own_behind_the_writing_one(spark, tmp_path):
+    send(spark, f"{tmp_path}/in", [("a", 60 * hour, None) for hour in range(40)])
+    stream = spark.readStream.schema(DDL).parquet(f"{tmp_path}/in")
+    with session_conf(spark, {"spark.sql.shuffle.partitions": "30"}):
+        query = L.start_rates(L.rates(stream), f"{tmp_path}/out", f"{tmp_path}/state", NOW, state_tasks=3)
+        query.awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "30"
+    assert {p["stateOperators"][0]["numShufflePartitions"] for p in query.recentProgress} == {3}
+    tasks = spark.range(0, 50, 1, 5).select(F.lit("a").alias("_log_type"), F.lit(START).alias("period"),
+                                            F.spark_partition_id().cast("long").alias("messages"), F.lit(0).cast("long").alias("invalid"))
+    L._Updates(f"{tmp_path}/written", 100)(tasks, 0)
+    assert {r.messages for r in spark.read.parquet(f"{tmp_path}/written/batch-000000000000").collect()} == set(range(5))
+
+
+def test_batches_do_not_follow_the_number_of_files(spark, tmp_path):
+    topics = FileTopics(f"{tmp_path}/topics")
+    for files, each in ((3, 1), (30, 5)):
+        spark.range(100).selectExpr("'k' AS key", "'v' AS value").repartition(files).write.parquet(topics.path(f"t{files}"))
+        assert staging.in_batches(spark, topics, f"t{files}", 6).max_files_per_trigger == each
