@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from logweir.operators import quality, reports as R
 from logweir.plans.registry import query
-from logweir.plans.staging import DAMAGE_SQL, shared_topic_messages, warehouse
+from logweir.plans.staging import DAMAGE_SQL, prepared, shared_topic_messages, warehouse
 from logweir.plans.views import read, view
 
 AS_OF = "2024-01-31"
@@ -189,7 +189,7 @@ def _(spark, sf):
     SELECT count(*) AS added_rows, TRUE AS lag_measured FROM user_events WHERE {DAMAGE_SQL} IS NULL
     GROUP BY CASE WHEN log_ts < TIMESTAMP '2024-01-16 00:00:00' THEN 0 ELSE 1 END""")
 def _(spark, sf):
-    out = R.processing_lag(warehouse(spark, sf).table("user_events"))
+    out = R.processing_lag(warehouse(spark, sf, "user-events").table("user_events"))
     return out.select("added_rows", (F.col("max_lag_s") >= F.col("avg_lag_s")).alias("lag_measured"))
 
 
@@ -379,5 +379,5 @@ def _(spark, sf):
     FROM (SELECT coalesce({DAMAGE_SQL} IN ('no_envelope', 'malformed'), FALSE) AS bare
           FROM (SELECT event_id FROM user_events UNION ALL SELECT event_id FROM user_activity))""")
 def _(spark, sf):
-    configs = warehouse(spark, sf).configs
+    configs = prepared(spark, sf).configs
     return quality.envelope_report(shared_topic_messages(spark, sf, configs))

@@ -83,7 +83,7 @@ def _(spark, sf):
 @query("tbl11_sorted_files", "SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS out_of_order FROM api_metrics")
 def _(spark, sf):
     """Within every file the rows follow the declared sort order."""
-    table = S.warehouse(spark, sf).table("api_metrics")
+    table = S.warehouse(spark, sf, "api-metrics").table("api_metrics")
     rows = table.select("timestamp", F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i"))
     before = F.lag("timestamp").over(Window.partitionBy("f").orderBy("i"))
     return rows.withColumn("before", before).agg(

@@ -116,6 +116,21 @@ def test_batch_that_failed_half_way_is_replayed_whole(spark, pipe, sf_dir, monke
     assert set(stamps) == {first}
 
 
+def test_all_tasks_parse_a_batch_before_its_first_write(spark, pipe, sf_dir, monkeypatch):
+    p = pipe("api_metrics")
+    p.topics.publish(encode(view(spark, sf_dir, "api_metrics"), p.configs["api_metrics"]), "api-metrics")
+    write, kept = tables.append_batch, []
+
+    def append(df, *args, **how):
+        kept.append(sum(i.numCachedPartitions() for i in spark.sparkContext._jsc.sc().getRDDStorageInfo()))
+        return write(df, *args, **how)
+
+    before = sum(i.numCachedPartitions() for i in spark.sparkContext._jsc.sc().getRDDStorageInfo())
+    monkeypatch.setattr(tables, "append_batch", append)
+    p.run(repartition=4)
+    assert kept[0] - before == 4 and len(kept) == 2 and p.rows("api_metrics").count() == 1000
+
+
 def test_new_checkpoint_reads_again_but_overwrites_nothing(spark, pipe):
     p = pipe("demo_events")
     c = p.configs["demo_events"]

@@ -3,13 +3,15 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from logweir.functions.envelope import with_ingestion_time
 from logweir.operators import tables
 from logweir.operators.quality import health
-from logweir.plans import staging as S
+from logweir.plans import all_queries, staging as S
 from logweir.plans.views import view
+from logweir.session import path_exists
 from logweir.sources.topics import FileTopics, totals
 from logweir.streaming import ledger as L
 from logweir.streaming.progress import recorded_totals
@@ -38,6 +40,30 @@ def test_health_reads_no_message_and_no_table(spark, sf_dir):
     assert [r.lag for r in out.collect()] == [0]
 
 
+def test_a_topic_is_staged_when_it_is_asked_for(spark, sf_dir):
+    folder = f"{sf_dir}/."  # a stage of its own
+    all_queries()["prj6_flatten_unrouted"](spark, folder).collect()
+    assert not path_exists(spark, S.prepared(spark, folder).topics.root)
+    assert [r.added_records > 0 for r in all_queries()["met1_snapshots"](spark, folder).collect()] == [True, True]
+    stage = S.prepared(spark, folder)
+    assert stage.ingested == {"api-metrics"} and not path_exists(spark, stage.topics.path("user-events"))
+    alone = S.topic(spark, folder, "user-events")
+    assert alone.root != stage.topics.root and S.topic(spark, folder, "api-metrics") == stage.topics
+    both = S.warehouse(spark, folder)
+    assert both is stage and {r.source for r in both.ledger.batches(spark).collect()} == {"api-metrics", "user-events"}
+    assert alone.read(spark, "user-events").count() == both.topics.read(spark, "user-events").count()
+
+
+def test_a_stage_that_failed_is_built_anew(spark, sf_dir, monkeypatch):
+    folder = f"{sf_dir}/./."
+    with monkeypatch.context() as broken:
+        broken.setattr(S, "start_ingest", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            S.warehouse(spark, folder, "api-metrics")
+    stage = S.warehouse(spark, folder, "api-metrics")
+    assert stage.table("api_metrics").count() == view(spark, sf_dir, "api_metrics").count()
+
+
 def put(ledger, spark, number, rows, name="db.t"):
     ledger.record(spark, "q", "topic", number, [{"table_name": name, "log_type": "t", "rows": rows},
                                                 {"table_name": "db.quarantine", "log_type": "quarantine", "rows": 2, "rejects": {"malformed": 2}}])
