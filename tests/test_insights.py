@@ -32,6 +32,23 @@ def test_merged_sketches_keep_their_rank_error(spark, tmp_path):
         assert (r.min_ms, r.max_ms) == (min(values), max(values))
 
 
+@pytest.mark.parametrize("p", [0.0, 0.05, 0.5, 0.95, 1.0])
+def test_quantiles_beyond_what_a_sketch_keeps_are_exact(spark, p):
+    rows = spark.range(30_000).select(F.date_add(F.lit(DAY0), (F.col("id") % 30).cast("int")).alias("metric_date"),
+                                      F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 2 > 0, "b").alias("service_name"),
+                                      F.when(F.col("id") % 50 > 0, F.pmod(F.xxhash64("id"), F.lit(9_000))).alias("response_time_ms"))
+    rows = rows.unionByName(spark.createDataFrame([(DAY0, "none", None)], rows.schema))
+    daily, values = sketches.daily_latency(rows, ["service_name"], k=8), sketches.daily_values(rows, ["service_name"])
+    name = f"p{round(100 * p)}_ms"
+    for k in (8, 100_000):  # the second claims a smaller error than the sketches have, so bounds miss
+        got = {r.service_name: r for r in sketches.exact_over(daily, values, ["service_name"], p, k).collect()}
+        assert got.keys() == {"hot", "b", None, "none"} and got["none"][name] is None and got["none"].calls == 1
+        for key in ("hot", "b", None):
+            held = sorted(r[0] for r in rows.where(F.col("service_name").eqNullSafe(key)).select("response_time_ms").collect() if r[0] is not None)
+            assert got[key][name] == held[max(-(-len(held) * round(100 * p) // 100), 1) - 1]
+            assert (got[key].min_ms, got[key].max_ms) == (held[0], held[-1])
+
+
 def test_month_reads_only_sketches_of_its_days(spark, tmp_path):
     calls = spark.range(300).select(F.date_add(F.lit(DAY0), (F.col("id") % 30).cast("int")).alias("metric_date"), F.lit("s").alias("service_name"),
                                     F.col("id").alias("response_time_ms"))
