@@ -30,6 +30,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -81,17 +82,25 @@ class Pair:
         return [*out, text[start:]]
 
     def encode(self, text: str | None) -> tuple[list[int], list[int]]:
-        """The ids of A and of B; none where their bytes are not those of space + text."""
+        a, b = self.ids(text)
+        return a.tolist(), b
+
+    def ids(self, text: str | None) -> tuple[np.ndarray, list[int]]:
+        """The ids of A and of B; none where their bytes are not those of space + text.
+
+        A's tokens are stretches of the text in their order, so they are all of it if their lengths add up.
+        """
+        none = np.zeros(0, np.uint32), []
         if not text:
-            return [], []
-        pieces = self.pieces(text)
-        a, b = [], []
-        for piece, ids in zip(pieces, self.b.encode(pieces, num_threads=1)):
-            a += self.a.encode_ordinary(" " + piece)
-            b += ids
-        raw = b" " + text.encode()
-        whole = self.a.decode_bytes(a) == raw and b"".join(map(self.bytes_b.__getitem__, b)) == raw
-        return (a, b) if whole else ([], [])
+            return none
+        raw, pieces = b" " + text.encode(), self.pieces(text)
+        found = self.b.encode(pieces, num_threads=1)
+        b = found[0] if len(found) == 1 else list(chain.from_iterable(found))
+        if b"".join(map(self.bytes_b.__getitem__, b)) != raw:
+            return none
+        each = [self.a.encode_to_numpy(" " + piece, disallowed_special=()) for piece in pieces]
+        a = each[0] if len(each) == 1 else np.concatenate(each)
+        return (a, b) if self.length_a[a].sum() == len(raw) else none
 
 
 def _digits(n: int) -> np.ndarray:
@@ -121,8 +130,10 @@ def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, first: np.ndarray, last:
         inside = hi > lo
         lo, hi = lo[inside], hi[inside]
         middle = (lo + hi - 1) // 2
-        at = np.full(lo.size, -1)
-        open_, reach = np.arange(lo.size), PROBE
+        ends = ends_a[middle]
+        shared = ends_b[np.searchsorted(ends_b, ends)] == ends  # most middles are cuts themselves
+        at = np.where(shared, middle, -1)
+        open_, reach = np.flatnonzero(~shared & (hi - lo > 1)), PROBE
         while open_.size:
             left = np.maximum(lo[open_], middle[open_] - reach + 1)
             right = np.minimum(hi[open_] - 1, middle[open_] + reach - 1)
@@ -141,7 +152,8 @@ def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, first: np.ndarray, last:
             reach *= 4
         split = at >= 0
         cuts.append(at[split])
-        lo, hi = np.concatenate([lo[split], at[split] + 1]), np.concatenate([at[split], hi[split]])
+        # Halves side by side: searches for ascending ends are quicker.
+        lo, hi = (np.stack(halves, axis=1).ravel() for halves in ((lo[split], at[split] + 1), (at[split], hi[split])))
     return np.sort(np.concatenate(cuts))
 
 
@@ -149,11 +161,11 @@ class Block:
     """The tokens of some texts, aligned."""
 
     def __init__(self, pair: Pair, texts: list[str | None]):
-        encoded = [pair.encode(t) for t in texts]
+        encoded = [pair.ids(t) for t in texts]
         self.n_a = np.array([len(a) for a, _ in encoded], np.int64)
         self.n_b = np.array([len(b) for _, b in encoded], np.int64)
-        self.a = np.array([i for a, _ in encoded for i in a], np.int64)
-        self.b = np.array([i for _, b in encoded for i in b], np.int64)
+        self.a = np.concatenate([np.zeros(0, np.int64), *(a for a, _ in encoded)], dtype=np.int64)
+        self.b = np.fromiter(chain.from_iterable(b for _, b in encoded), np.int64, int(self.n_b.sum()))
         self.pair = pair
         ends_a, ends_b = np.cumsum(pair.length_a[self.a]), np.cumsum(pair.length_b[self.b])
         stop, some = np.cumsum(self.n_a), self.n_a > 0

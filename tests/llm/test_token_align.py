@@ -129,3 +129,11 @@ def test_long_texts_are_cut_without_a_trace(libraries, monkeypatch):
     assert whole == (libraries[0].encode(" " + text, add_special_tokens=False).ids, libraries[1].encode(text))
     long = "naïve words, here and " * 40_000
     assert len(token_align.pair_of(A, B).encode(long)[0]) > 200_000
+
+
+def test_a_middle_that_is_a_cut_costs_one_search(monkeypatch):
+    asked, search = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda ends, at: (asked.append(np.size(at)), search(ends, at))[1])
+    ends = np.arange(1, 1001)
+    assert token_align.shared_cuts(ends, ends, np.array([0]), np.array([999])).tolist() == list(range(1000))
+    assert sum(asked) == 999
